@@ -1,18 +1,37 @@
 """Exact running totals and quantiles without pulling an ordering into one task.
 
 A global ordered window sends every row to one partition. Here equal values are first
-merged (map-side combine), the distinct values are cut into balanced ranges by an
-approximate quantile sketch, totals before each range come from one small row per range,
-and the window runs inside each range only. The sketch only decides where to cut, so the
-results are exact.
+merged (map-side combine) and the merged table is written once. If it is small, one window
+does. If not, the distinct values are cut into balanced ranges by an approximate quantile
+sketch, totals before each range come from one small row per range, and the window runs
+inside each range only. The sketch only decides where to cut, so results are exact.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+from shiplens.sources.scratch import materialise
+
+ROWS_PER_RANGE = 250_000
+MAX_RANGES = 4_096
+
+
+def _in_ranges(table: DataFrame, value: str, ranges: int) -> DataFrame:
+    """`_range` by binary search over cuts of the pooled values.
+
+    Cuts are pooled over all keys: a key's share of a range is at most the whole range.
+    """
+    placed = table.withColumn("_v", F.col(value).cast("double"))
+    cuts = sorted(set(placed.approxQuantile(
+        "_v", [(i + 1) / ranges for i in range(ranges - 1)], 1 / (4 * ranges)
+    )))
+    splits = [-math.inf, *cuts, math.inf]
+    return Bucketizer(splits=splits, inputCol="_v", outputCol="_range").transform(placed)
 
 
 def running_totals(
@@ -22,32 +41,32 @@ def running_totals(
     *,
     keys: list[str] | None = None,
     descending: bool = False,
-    ranges: int = RANGES,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Adds `<t>_upto` (inclusive running total) and `<t>_all` for every total.
 
-    `df` holds one row per (keys, value). `keys` must be a bounded set, such as the
-    columns of a contract or the folds of a search: one array of cuts and `ranges` rows
-    of totals per key combination are what gets broadcast.
+    `df` holds one row per (keys, value), `value` being numeric. `keys` must be a bounded
+    set, such as the columns of a contract or the folds of a search.
     """
     keys = keys or []
-    steps = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
-    sketch = F.percentile_approx(F.col(value).cast("double"), steps, F.lit(ranges * 16))
-    if keys:
-        cuts = df.groupBy(*keys).agg(F.array_distinct(sketch).alias("_cuts"))
-        placed = df.join(F.broadcast(cuts), keys)
-    else:
-        placed = df.withColumn(
-            "_cuts", df.agg(F.array_distinct(sketch).alias("_cuts")).scalar()
-        )
-    here = F.col(value).cast("double")
-    below = F.size(F.filter("_cuts", lambda cut: cut < here))
-    placed = placed.withColumn("_range", -below if descending else below).drop("_cuts")
+    table = materialise(df, "values")
+    ranges = min(math.ceil(table.count() / (rows_per_range or ROWS_PER_RANGE)), MAX_RANGES)
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if ranges <= 1:  # at most ROWS_PER_RANGE rows in all
+        run = Window.partitionBy(*keys).orderBy(order).rowsBetween(*upto)
+        whole = Window.partitionBy(*keys)
+        return table.withColumns({
+            **{f"{t}_upto": F.sum(t).over(run) for t in totals},
+            **{f"{t}_all": F.sum(t).over(whole) for t in totals},
+        })
 
+    placed = _in_ranges(table, value, ranges)
     per_range = placed.groupBy(*keys, "_range").agg(
         *[F.sum(t).alias(f"_{t}") for t in totals]
     )
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
+    along = F.col("_range").desc() if descending else F.col("_range").asc()
+    before = Window.partitionBy(*keys).orderBy(along).rowsBetween(
         Window.unboundedPreceding, -1
     )
     whole = Window.partitionBy(*keys)
@@ -57,21 +76,17 @@ def running_totals(
           for t in totals],
         *[F.sum(f"_{t}").over(whole).alias(f"{t}_all") for t in totals],
     )
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    inside = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return (
-        placed.join(F.broadcast(offsets), [*keys, "_range"])
-        .withColumns({
-            f"{t}_upto": F.sum(t).over(inside) + F.col(f"_{t}_before") for t in totals
-        })
-        .drop("_range", *[f"_{t}_before" for t in totals])
-    )
+    inside = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(*upto)
+    # At most MAX_RANGES rows per key combination.
+    joined = placed.join(F.broadcast(offsets), [*keys, "_range"])
+    return joined.withColumns({
+        f"{t}_upto": F.sum(t).over(inside) + F.col(f"_{t}_before") for t in totals
+    }).drop("_range", "_v", *[f"_{t}_before" for t in totals])
 
 
 def exact_quantiles(
     df: DataFrame, columns: list[str] | tuple[str, ...], probabilities: list[float],
+    *, rows_per_range: int | None = None,
 ) -> DataFrame:
     """(column, probability, quantile) with linear interpolation, nulls ignored.
 
@@ -85,7 +100,9 @@ def exact_quantiles(
         df.select(F.inline(entries)).where(F.col("v").isNotNull())
         .groupBy("column", "v").agg(F.count("*").alias("n"))
     )
-    run = running_totals(counts, "v", ["n"], keys=["column"])
+    run = running_totals(
+        counts, "v", ["n"], keys=["column"], rows_per_range=rows_per_range
+    )
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     spot = (F.col("n_all") - 1) * F.col("probability")
     low, high = F.floor(spot), F.ceil(spot)
