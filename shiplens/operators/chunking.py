@@ -327,14 +327,20 @@ def chunk(
     manifest: DataFrame, strategies: dict[str, Callable[[Column], Column]] | None = None
 ) -> DataFrame:
     """Manifest rows with `text` -> chunk rows, in one pass over the documents."""
-    pieces = None
-    for name, strategy in (strategies or STRATEGIES).items():
-        made = strategy(F.col("_lines")).cast(CHUNKS)
-        test = F.col("document_type") == name
-        pieces = F.when(test, made) if pieces is None else pieces.when(test, made)
+    def dispatch(lines: Column) -> Column:
+        by_strategy: dict[Callable, list[str]] = {}
+        for name, strategy in (strategies or STRATEGIES).items():
+            by_strategy.setdefault(strategy, []).append(name)
+        pieces = F.lit(None).cast(CHUNKS)
+        for strategy, names in by_strategy.items():
+            chosen = F.col("document_type").isin(names)
+            pieces = F.when(chosen, strategy(lines)).otherwise(pieces)
+        return pieces
+
+    # Bound by name, the cleaned lines are made once per document, not once per use.
+    pieces = _let(clean_lines(F.col("text")), dispatch)
     return (
-        manifest.withColumn("_lines", clean_lines(F.col("text")))
-        .select("doc_id", *CARRIED, F.posexplode(pieces).alias("chunk_index", "piece"))
+        manifest.select("doc_id", *CARRIED, F.posexplode(pieces).alias("chunk_index", "piece"))
         .select(
             F.concat_ws("_chunk_", "doc_id", F.col("chunk_index").cast("string"))
             .alias("chunk_id"),
