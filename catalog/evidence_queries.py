@@ -13,6 +13,7 @@ from catalog.tables import deployments, risk_score_expression, table
 from shiplens.functions import flags as fl
 from shiplens.operators import gate, reteval, retrieval, scoring
 from shiplens.operators.topk import filtered_topk
+from shiplens.plans import evidence
 from shiplens.sources.evidence_index import EvidenceIndex
 from shiplens.sources.scratch import materialise, new_path
 
@@ -375,3 +376,18 @@ def evidence_index(spark, sf):
     index.prune(keep=2)
     return index.read().groupBy("document_type").agg(F.count("*").alias("chunks")).withColumn(
         "index_version", F.lit(index.current()))
+
+
+@query("explain_deployments", f"""
+WITH {_VERDICTS}
+SELECT query_id, verdict, CASE verdict WHEN 'insufficient_evidence' THEN 'No ' || vendor_name
+    || ' evidence exists in the corpus; other vendors'' documents do not apply. Refer this '
+    || 'deployment to an engineer who knows the vendor.'
+  WHEN 'low_confidence' THEN 'Low confidence, not explained: ' || reasons END AS text,
+  (SELECT count(DISTINCT chunk_id) FROM hits h WHERE h.query_id = v.query_id) AS evidence
+FROM verdicts v JOIN asked USING (query_id)""")
+def explain_deployments(spark, sf):
+    """Retrieve, gate, assemble; no generator, so only refusals and doubts carry a text."""
+    rows = evidence.explain(upcoming(spark, sf), searchable(spark, sf))
+    return rows.select("query_id", "verdict", "text",
+                       F.coalesce(F.size("evidence_ids"), F.lit(0)).alias("evidence"))

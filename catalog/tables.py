@@ -99,10 +99,15 @@ def deployments(
     ])
 
 
-def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as text with the defects a feed brings: every contract rule fires."""
+def raw_feed(
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
+) -> DataFrame:
+    """The same rows as text with the defects a feed brings: every contract rule fires.
+
+    `orders` may be a stream of the same rows.
+    """
     k = F.col("o_orderkey")
-    df = table(spark, sf_dir, "orders")
+    df = table(spark, sf_dir, "orders") if orders is None else orders
     made = order_columns()
     text = {name: column.cast("string") for name, column in made.items()}
     text["deployment_id"] = F.format_string(

@@ -214,7 +214,7 @@ def assemble(hits: DataFrame) -> DataFrame:
 
 
 def evidence_blocks(hits: DataFrame, corpus: DataFrame) -> DataFrame:
-    """(query_id, evidence_ids, documents, block): the numbered evidence text per query."""
+    """(query_id, evidence_ids, document_ids, block): the numbered evidence per query."""
     numbered = with_chunks(assemble(hits), corpus, ["doc_id", "document_type", "text"])
     entry = F.concat(
         F.lit("[Evidence "), F.col("evidence_no").cast("string"), F.lit("] "), F.col("doc_id"),
@@ -223,7 +223,7 @@ def evidence_blocks(hits: DataFrame, corpus: DataFrame) -> DataFrame:
     items = F.array_sort(F.collect_list(F.struct(
         F.col("evidence_no").alias("n"), "chunk_id", entry.alias("entry"))))
     return numbered.groupBy("query_id").agg(
-        items.alias("items"), F.array_sort(F.collect_set("doc_id")).alias("documents")
+        items.alias("items"), F.array_sort(F.collect_set("doc_id")).alias("document_ids")
     ).select(
-        "query_id", F.col("items.chunk_id").alias("evidence_ids"), "documents",
+        "query_id", F.col("items.chunk_id").alias("evidence_ids"), "document_ids",
         F.array_join(F.col("items.entry"), "\n\n").alias("block"))
