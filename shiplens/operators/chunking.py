@@ -415,7 +415,7 @@ def invariant_violations(
         "merges_sections": structured & dtype.isin(*HEADED)
         & (F.size(F.filter(lines, lambda x: x.startswith(SECTION))) != 1),
         "vendor_outside_pair": structured & (dtype == "CrossVendor") & F.exists(
-            F.array(*[F.lit(v) for v in vendors]),
+            F.array(*[F.lit(v) for v in vendors]).cast("array<string>"),
             lambda v: F.contains(text, v) & ~F.array_contains("vendors", v)),
         "table_cut": structured & (dtype == "Advisory") & (_table_defects(text) > 0),
         "prose_with_table": (kind == "prose") & (dtype == "Advisory")
