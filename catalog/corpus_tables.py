@@ -13,6 +13,7 @@ from catalog.tables import deployments, table
 from shiplens.functions import flags as fl
 from shiplens.functions.versions import jump_band
 from shiplens.operators import chunking, corpus
+from shiplens.sources.scratch import spread
 
 VENDORS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 FAMILIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -39,7 +40,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     vendor, other = _pick(VENDORS, step % 5), _pick(VENDORS, (step + 1) % 5)
     family, band = _pick(FAMILIES, family_step % 6), family_step % 2
     number = F.format_string("KB-%03d", d + 1)
-    base = table(spark, sf_dir, "documents").select(
+    base = spread(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", kind.alias("kind"), vendor.alias("vendor"), other.alias("other"),
         family.alias("family"), number.alias("number"),
         _pick(("major", "extreme"), band).alias("band"),

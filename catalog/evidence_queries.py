@@ -41,8 +41,7 @@ def upcoming(spark, sf):
 
 
 def searchable(spark, sf):
-    manifest = ct.manifest(spark, sf)
-    return retrieval.prepare_chunks(ct.chunks(spark, sf), manifest.drop("text"))
+    return evidence.build_corpus(ct.documents(spark, sf), ct.CONTRACT)[1]
 
 
 _MENTIONS = ", ".join(

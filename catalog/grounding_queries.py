@@ -11,6 +11,7 @@ from catalog.contract_queries import context_blocks as _contexts
 from catalog.registry import ORACLES, query
 from catalog.tables import table
 from shiplens.operators import grounding
+from shiplens.sources.scratch import spread
 
 CITATION = r"KB-\d{3,}"
 CLAIMS = (
@@ -24,7 +25,7 @@ def _explanations(spark, sf):
     d = F.col("d")
     number = F.format_string("KB-%03d", d + 1)
     said = F.get(F.array(*[F.lit(c) for c in CLAIMS]), (d % 4).cast("int"))
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents")).select(
         F.col("doc_id").alias("d"), F.col("text").alias("body"), "n_chars")
     corpus = ct.documents(spark, sf).select(
         (F.regexp_extract("filename", r"(\d+)\.md$", 1).cast("bigint") - 1).alias("d"),

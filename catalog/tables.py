@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.operators.contract import DEPLOYMENTS
+from shiplens.sources.scratch import spread
 
 CUSTOMER_COLUMNS = {"site_id", "vendor_name"}
 PART_COLUMNS = {"device_type", "hardware_series", "firmware_release_age_days"}
@@ -107,7 +108,7 @@ def raw_feed(
     `orders` may be a stream of the same rows.
     """
     k = F.col("o_orderkey")
-    df = table(spark, sf_dir, "orders") if orders is None else orders
+    df = spread(table(spark, sf_dir, "orders")) if orders is None else orders
     made = order_columns()
     text = {name: column.cast("string") for name, column in made.items()}
     text["deployment_id"] = F.format_string(

@@ -189,7 +189,12 @@ def split_valid(
     df: DataFrame, contract: TableContract = DEPLOYMENTS
 ) -> tuple[DataFrame, DataFrame]:
     """(coerced good rows, raw bad rows with `reasons`)."""
-    tagged = with_reasons(df, contract)
+    return split_tagged(with_reasons(df, contract), contract)
+
+
+def split_tagged(
+    tagged: DataFrame, contract: TableContract = DEPLOYMENTS
+) -> tuple[DataFrame, DataFrame]:
     good = tagged.where(F.size("reasons") == 0).drop("reasons")
     return coerce(good, contract), tagged.where(F.size("reasons") > 0)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shiplens.sources.scratch import materialise
 
-ROWS_PER_RANGE = 250_000
+ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4_096
 
 

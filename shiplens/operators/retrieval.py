@@ -16,7 +16,7 @@ from shiplens.functions import flags as fl
 from shiplens.functions.embedding import Embedder, embedded, hashed_words
 from shiplens.functions.narrative import query_text
 from shiplens.operators.topk import filtered_topk
-from shiplens.sources.scratch import materialise
+from shiplens.sources.scratch import materialise, spread
 
 EVIDENCE_TYPES = ["Postmortem", "Advisory", "RiskNote"]
 # Routes in order with the most chunks each returns (runbooks: per document).
@@ -57,9 +57,8 @@ def prepare_chunks(
         "edge": F.concat(F.left(lowered, F.lit(EDGE)), F.lit("\u0000"),
                          F.right(lowered, F.lit(EDGE))),
     })
-    vectors = joined.where(searched).withColumn("vector", embedded(text, embed))
-    plain = joined.where(~searched).withColumn("vector", F.lit(None).cast("array<float>"))
-    return materialise(vectors.unionByName(plain), "corpus")
+    return materialise(
+        joined.withColumn("vector", embedded(F.when(searched, text), embed)), "corpus")
 
 
 def _slot(route: str, *parts: Column) -> Column:
@@ -167,7 +166,7 @@ def retrieve(
 
     The columns the routes read are written once: each route is a pass of its own.
     """
-    deployments = materialise(deployments.select(key, *QUERY_COLUMNS), "asked")
+    deployments = spread(materialise(deployments.select(key, *QUERY_COLUMNS), "asked"))
     found = []
     vector_routes = [r for r in routes if r in VECTOR_ROUTES]
     if vector_routes:

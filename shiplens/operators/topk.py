@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 256 * 1024 * 1024
 ITEMS_PER_BLOCK = 20_000
 QUERIES_PER_BLOCK = 20_000
-CELLS_PER_PRODUCT = 4_000_000
+CELLS_PER_PRODUCT = 1_000_000
 DIGITS = 6
 RESULT = "query_id string, slot string, item_id string, score double, rank int"
 
@@ -27,18 +27,25 @@ RESULT = "query_id string, slot string, item_id string, score double, rank int"
 def best_of(queries: np.ndarray, items: np.ndarray, k: int):
     """(query row, item row, score, rank) of the k best items per query, ties to the lower.
 
-    Scores are rounded before ranking, so equal vectors tie whatever the block they met in.
+    A single-precision product names the candidates: everything within twice its error
+    bound, and the rounding unit, of the k-th best. Only those are scored in double
+    precision and rounded, so equal vectors tie whatever block they met in.
     """
     out = []
-    step = max(1, CELLS_PER_PRODUCT // max(1, len(items)))
+    n, d = items.shape
+    step = max(1, CELLS_PER_PRODUCT // max(1, n))
+    size = np.sqrt((queries ** 2).sum(1).max() * (items.astype(np.float64) ** 2).sum(1).max())
+    slack = 2 * (d + 2) * np.finfo(np.float32).eps * size + 2 * 10.0 ** -DIGITS
     for start in range(0, len(queries), step):
-        scores = np.round(queries[start:start + step] @ items.T, DIGITS)
-        if k < scores.shape[1]:
-            least = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-            rows, cols = np.nonzero(scores >= least[:, None])
+        block = queries[start:start + step]
+        if k < n:
+            rough = block.astype(np.float32) @ items.T
+            least = np.partition(rough, n - k, axis=1)[:, n - k] - slack
+            rows, cols = np.nonzero(rough >= least[:, None])
         else:
-            rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-        found = scores[rows, cols]
+            rows, cols = np.divmod(np.arange(len(block) * n), n)
+        found = np.round(np.einsum(
+            "ij,ij->i", block[rows], items[cols].astype(np.float64)), DIGITS)
         order = np.lexsort((cols, -found, rows))
         rows, cols, found = rows[order], cols[order], found[order]
         first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
@@ -48,8 +55,8 @@ def best_of(queries: np.ndarray, items: np.ndarray, k: int):
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64)
+def _matrix(vectors: pd.Series, kind: type = np.float64) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(kind)
 
 
 def _winners(queries: pd.DataFrame, ids: np.ndarray, items: np.ndarray, slot: str):
@@ -67,11 +74,12 @@ def _winners(queries: pd.DataFrame, ids: np.ndarray, items: np.ndarray, slot: st
 
 
 def _streamed(queries: DataFrame, items: DataFrame) -> DataFrame:
-    frame = items.select("slot", "item_id", "vector").orderBy("slot", "item_id").toPandas()
-    held = {
-        slot: (group["item_id"].to_numpy(), _matrix(group["vector"]).astype(np.float32))
-        for slot, group in frame.groupby("slot")
-    }
+    table = items.select("slot", "item_id", "vector").orderBy("slot", "item_id").toArrow()
+    flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    matrix = flat.astype(np.float32).reshape(len(table), -1)
+    ids = table["item_id"].to_numpy()
+    rows = pd.Series(np.arange(len(table))).groupby(table["slot"].to_numpy())
+    held = {slot: (ids[at], matrix[at]) for slot, at in rows.indices.items()}
     shared = queries.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,7 +88,7 @@ def _streamed(queries: DataFrame, items: DataFrame) -> DataFrame:
             for slot, group in batch.groupby("slot"):
                 if slot in shared.value:
                     ids, matrix = shared.value[slot]
-                    parts += _winners(group, ids, matrix.astype(np.float64), slot)
+                    parts += _winners(group, ids, matrix, slot)
             if parts:
                 yield pd.concat(parts)
 
@@ -121,7 +129,7 @@ def _blocked(
             return none
         i = i.sort_values("item_id")
         return pd.concat([none, *_winners(
-            q, i["item_id"].to_numpy(), _matrix(i["vector"]), q["slot"].iloc[0])])
+            q, i["item_id"].to_numpy(), _matrix(i["vector"], np.float32), q["slot"].iloc[0])])
 
     winners = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, RESULT)
     place = F.row_number().over(

@@ -13,7 +13,7 @@ from shiplens.functions.narrative import context_block
 from shiplens.operators import corpus as corpus_ops
 from shiplens.operators import gate, grounding, reteval, retrieval
 from shiplens.operators.chunking import chunk
-from shiplens.sources.scratch import materialise
+from shiplens.sources.scratch import materialise, spread
 
 Generator = Callable[[Sequence[str]], Sequence[str | None]]
 NO_FLAG_NOTE = (
@@ -27,7 +27,7 @@ def build_corpus(
     embed: Embedder = hashed_words,
 ) -> tuple[DataFrame, DataFrame]:
     """(manifest without texts, searchable chunks) of a (filename, text) table."""
-    manifest = materialise(corpus_ops.manifest(documents, contract), "manifest")
+    manifest = spread(materialise(corpus_ops.manifest(documents, contract), "manifest"))
     return manifest.drop("text"), retrieval.prepare_chunks(
         chunk(manifest), manifest.drop("text"), embed)
 

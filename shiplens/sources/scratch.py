@@ -26,6 +26,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For CPU-heavy steps over few files, which would leave most cores idle.
+
+    Tables of as many files as there are cores or more are left as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Written once and read back: later passes neither recompute it nor depend on the
     executors that made it."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shiplens.operators.contract import DEPLOYMENTS, TableContract, split_valid
+from shiplens.operators.contract import DEPLOYMENTS, TableContract, split_tagged, with_reasons
 
 Score = Callable[[DataFrame], DataFrame]
 
@@ -21,10 +21,12 @@ def score_batch(
     batch: DataFrame, batch_id: int, score: Score, scores: str, rejects: str,
     contract: TableContract,
 ) -> None:
-    good, bad = split_valid(batch, contract)
+    tagged = with_reasons(batch, contract).persist()
+    good, bad = split_tagged(tagged, contract)
     folder = f"run=batch_{batch_id:012d}"
     score(good).write.mode("overwrite").parquet(f"{scores}/{folder}")
     bad.write.mode("overwrite").parquet(f"{rejects}/{folder}")
+    tagged.unpersist()
 
 
 def score_stream(

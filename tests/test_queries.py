@@ -6,12 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from catalog.tables import deployments, scored
+from catalog.tables import deployments, raw_feed, scored
 from check_oracle import TABLES, rows_of
 from shiplens.functions import flags as fl
 from shiplens.operators import contract as ct
 from shiplens.operators import features as ft
-from shiplens.operators import metrics, prep, scoring
+from shiplens.operators import chunking, corpus, metrics, prep, scoring
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,7 +52,6 @@ def plan_of(df) -> str:
 
 def test_row_level_work_needs_no_shuffle(spark):
     raw = spark.read.parquet(f"{SF}/orders.parquet")
-    from catalog.tables import raw_feed
     feed = raw_feed(spark, SF, raw)
     for df in (
         ct.coerce(feed, ct.DEPLOYMENTS), ft.derive(ct.coerce(feed, ct.DEPLOYMENTS)),
@@ -62,8 +61,9 @@ def test_row_level_work_needs_no_shuffle(spark):
 
 
 def test_chunking_needs_no_shuffle(spark):
-    from catalog import corpus_tables
-    assert "Exchange" not in plan_of(corpus_tables.chunks(spark, SF))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
+        "concat('RiskNote_Cisco_PLC_', doc_id, '.md') AS filename", "text")
+    assert "Exchange" not in plan_of(chunking.chunk(corpus.manifest(docs)))
 
 
 def test_scans_read_only_what_is_used(spark):
