@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import compress, repeat
 
 import numpy as np
 import regex
@@ -22,7 +23,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 PIECE = regex.compile(PIECES)
 UNSAFE = re.compile(r"\s \s|\s \Z")
 #: Distinct segments one worker keeps; beyond it the store starts anew. Results don't depend on it.
-KEPT = 700_000
+KEPT = 1_000_000
 
 
 @lru_cache(1)
@@ -100,32 +101,37 @@ class Segments:
         self.filled += len(ids)
 
     def learn(self, unseen: list[str]) -> None:
-        """A segment that is a blank and then no white space opens with a piece of its own wherever
-        it stands, so many are encoded as one text and told apart by the blanks."""
-        joined = [s for s in unseen if len(s) > 1 and s[0] == " " and not s[1].isspace() and " " not in s[1:]]
+        """A blank and what follows it, up to the next, opens with a piece of its own wherever it
+        stands unless white space follows, so many are encoded as one text and told apart by the
+        blanks."""
+        joined = [s for s in unseen if s and not s[0].isspace()]
         if joined:
-            ids = self.encode("".join(joined))
+            ids = self.encode(" " + " ".join(joined))
             opens = np.flatnonzero(self.opens[ids])
             self.add(joined, ids, np.diff(opens, append=len(ids)))
-        taken = set(joined)
         for s in unseen:
-            if s not in taken:
-                ids = [self.vocab.special[s]] if s in self.vocab.special else self.encode(s)
+            if not s or s[0].isspace():
+                text = s[1:] if s[:1] == " " else " " + s
+                ids = [self.vocab.special[text]] if text in self.vocab.special else self.encode(text)
                 self.add([s], np.asarray(ids, np.int32), np.array([len(ids)]))
 
     def cut(self, text: str) -> list[str]:
-        """Segments of one text, in order; special tokens stand alone."""
+        """Keys of one text's segments, in order. A segment that opens with a blank has the rest as
+        its key, which holds no blank; any other, and a special token, has a blank and itself."""
         if self.vocab.split and any(s in text for s in self.vocab.special):
             out: list[str] = []
             for i, part in enumerate(self.vocab.split.split(text)):
-                out += [part] if i % 2 else self.cut(part)
+                out += [" " + part] if i % 2 else self.cut(part)
             return out
         if not text:
             return []
         if UNSAFE.search(text):
-            return PIECE.findall(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + r for r in rest]
+            return [" " + piece for piece in PIECE.findall(text)]
+        keys = text.split(" ")
+        if not keys[0]:
+            return keys[1:]
+        keys[0] = " " + keys[0]
+        return keys
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The segments' numbers of all texts end to end, and how many each text has."""
@@ -134,14 +140,16 @@ class Segments:
         flat: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            parts = self.cut(text)
-            counts[i] = len(parts)
-            flat += parts
-        known = self.number
-        unseen = [s for s in dict.fromkeys(flat) if s not in known]
-        if unseen:
-            self.learn(unseen)
-        return np.fromiter(map(known.__getitem__, flat), np.int64, len(flat)), counts
+            keys = self.cut(text)
+            counts[i] = len(keys)
+            flat += keys
+        found = np.array(list(map(self.number.get, flat, repeat(-1))), np.int64)
+        missing = found < 0
+        if missing.any():
+            keys = list(compress(flat, missing.tolist()))
+            self.learn(list(dict.fromkeys(keys)))
+            found[missing] = list(map(self.number.__getitem__, keys))
+        return found, counts
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""

@@ -31,7 +31,7 @@ from shiplens.llm.segments import Segments, vocabulary
 from shiplens.sources.scratch import new_path
 
 #: Ids of one independently packed block, and of one chunk unless a document has more.
-BLOCK, CHUNK_IDS = 1024, 1 << 18
+BLOCK, CHUNK_IDS = 1024, 1 << 20
 #: Fixed values of Simple-8b: values per word and bits per value, for each selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
@@ -56,8 +56,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.minimum(np.arange(1, n_blocks + 1) * BLOCK, n)
     # the selector a word would take if it began at each id: the one that holds most
     chosen = np.full(n, ESCAPE, np.uint8)
+    bits = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)  # rounding never takes one off
     for s in range(ESCAPE - 1, -1, -1):
-        fits = ids < (np.uint64(1) << np.uint64(WIDTHS[s]))
+        fits = bits <= WIDTHS[s]
         if not fits.any():
             continue
         run, have = fits, 1
@@ -73,19 +74,17 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         chosen[run] = s
     # a run that reaches into the next block counts as one only if it doesn't end there first;
     # the shorter run that is left fits the same selector, so cutting it is enough
-    at, stop = np.arange(n_blocks) * BLOCK, ends.copy()
-    live = np.arange(n_blocks)
-    begun, owner = [], []
-    while len(live):
-        begun.append(at[live].copy())
-        owner.append(live)
-        at[live] += np.where(chosen[at[live]] == ESCAPE, 1, COUNTS[chosen[at[live]]])
-        live = live[at[live] < stop[live]]
-    start, owner = np.concatenate(begun), np.concatenate(owner)
-    order = np.argsort(start, kind="stable")
-    start, owner = start[order], owner[order]
+    at, live, opens = np.arange(n_blocks) * BLOCK, np.arange(n_blocks), np.zeros(n, bool)
+    taken = np.where(chosen == ESCAPE, 1, COUNTS[chosen]).astype(np.int16)
+    while len(at):
+        opens[at] = True
+        at = at + taken[at]
+        on = at < ends[live]
+        at, live = at[on], live[on]
+    start = np.flatnonzero(opens)
+    owner = start // BLOCK
     selector = chosen[start]
-    count = np.minimum(np.where(selector == ESCAPE, 1, COUNTS[selector]), stop[owner] - start)
+    count = np.minimum(taken[start], ends[owner] - start).astype(np.int64)
     words = selector.astype(np.uint64) << np.uint64(60)
     packed = np.flatnonzero(selector < ESCAPE)
     for k in range(int(count[packed].max()) if len(packed) else 0):
@@ -213,7 +212,8 @@ def _documents(spark: SparkSession, path: str, column: str, value) -> DataFrame:
         "shard", "coalesce(sum(size) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING "
         "AND 1 PRECEDING), 0) AS base",
     )
-    placed = chunks.join(totals, "shard").withColumn("first", F.col("first") + F.col("base")).drop("base")
+    # a row for each task that wrote, so it may travel to every chunk
+    placed = chunks.join(F.broadcast(totals), "shard").withColumn("first", F.col("first") + F.col("base")).drop("base")
     name, kind = column.split(" ", 1)
     out = pa.schema([
         ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
