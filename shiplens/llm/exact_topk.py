@@ -29,6 +29,8 @@ from shiplens.llm.rows import batch_of
 
 #: Vectors of one tile of queries and of one block of candidates.
 TILE, BLOCK = 1024, 4096
+#: Blocks that one task multiplies with a tile.
+SHARE = 4
 LONG = (1 << 63) - 1
 
 
@@ -128,12 +130,16 @@ def top_k(rows: DataFrame, is_query: Column, k: int, scale: int = 256,
     queries = clean.withColumnRenamed("id", id_col).where(is_query).withColumnRenamed(id_col, "id")
     n_tiles = max(1, -(-queries.count() // TILE))
     n_blocks = max(1, -(-rows.count() // BLOCK))
+    # a task gets one tile and a few blocks, however many blocks there are
+    n_shares = -(-n_blocks // SHARE)
     tiles = _packed(queries, n_tiles).select(
-        F.col("part").alias("tile"), "size", F.col("ids").alias("q_ids"), F.col("matrix").alias("q")
+        F.col("part").alias("tile"), "size", F.col("ids").alias("q_ids"), F.col("matrix").alias("q"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_shares - 1))).alias("share"),
+    )
+    blocks = _packed(clean, n_blocks).select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))).alias("tile"), "size",
+        F.pmod("part", F.lit(n_shares)).alias("share"), "ids", "matrix",
     )
-    blocks = _packed(clean, n_blocks).withColumn(
-        "tile", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1)))
-    ).drop("part")
     schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
 
     def run(batches):
@@ -151,7 +157,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int, scale: int = 256,
             query, other, score = _merged(*map(np.concatenate, zip(*held)), k)
             yield batch_of(schema, query_id=query, id=other, score=score)
 
-    pairs = blocks.join(tiles, ["tile", "size"]).select("size", "ids", "matrix", "q_ids", "q")
+    pairs = blocks.join(tiles, ["tile", "size", "share"]).select("size", "ids", "matrix", "q_ids", "q")
     lists = pairs.mapInArrow(run, "query_id long, id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return lists.withColumn("rank", rank).where(F.col("rank") <= k).select(
