@@ -11,8 +11,8 @@ components. What a key still leaves apart, the members outside its largest compo
 that component and one another in blocks. So every two members of a key are compared or already
 joined, no key's pairs are listed, and a key of any size is spread over tasks.
 
-A pair at similarity 0.75 shares no key with probability 0.0027, at 0.8 with 0.0006, at 0.9 with
-less than 1e-5: (1 - (1 - J**ROWS)**SIDE)**2 is the chance of a shared key.
+A pair at similarity 0.75 shares no key with probability 1e-4, at 0.8 with 1e-5, at 0.85 with
+less than 1e-6: (1 - (1 - J**ROWS)**SIDE)**2 is the chance of a shared key.
 
 Defined results: a null text, or one without words, has the empty set and is linked with nothing;
 rows that share an id are one vertex; a row without id is linked with nothing and kept (its
@@ -36,9 +36,9 @@ from shiplens.sources.scratch import materialise
 #: Words of a shingle; percentage of the union two sets must share.
 WORDS, SHARE = 5, 75
 #: MinHash groups of each collection, and hashes of a group.
-SIDE, ROWS = 8, 2
+SIDE, ROWS = 12, 2
 #: Documents of one run of comparisons with a hub, and of the two sides of a block.
-SPAN, LEFT, RIGHT = 512, 64, 256
+SPAN, LEFT, RIGHT = 128, 64, 256
 _RANDOM = np.random.default_rng(1907)
 _TIMES = _RANDOM.integers(1, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLUS = _RANDOM.integers(1, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64)
