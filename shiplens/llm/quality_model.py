@@ -28,8 +28,9 @@ from shiplens.llm.words import mix, words
 #: Labelled rows the fit may see at most, and bits of a feature's number.
 SAMPLE, BITS = 8000, 18
 GRADES = 3
-#: Passes of the fit, its step, and the pull of weights towards zero.
-ROUNDS, STEP, PULL = 150, 0.15, 2e-4
+#: Passes of the fit, its step, and the pull of weights towards zero, which chance features feel as
+#: one over the root of the sample's size.
+ROUNDS, STEP, PULL = 300, 0.3, 0.0155
 #: Tail probability from which a text is selected.
 SELECT = 0.5
 _KINDS = 8
@@ -139,7 +140,7 @@ def fit(numbers: np.ndarray, counts: np.ndarray, grades: np.ndarray) -> Model:
         squares += grad**2
         rate = STEP / np.sqrt(squares)
         w -= rate * grad
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * PULL, 0)
+        w = np.sign(w) * np.maximum(np.abs(w) - rate * PULL / np.sqrt(n), 0)
         tails = np.cumsum(by_cut[::-1])[::-1]
         by_side = np.concatenate([[tails[0]], tails[1:] * np.exp(gaps)])
         side += by_side**2
