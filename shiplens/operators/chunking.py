@@ -75,7 +75,7 @@ def _is_body(line: Column) -> Column:
     return ~is_blank(line) & ~line.rlike(HEADING)
 
 
-def clean_lines(text: Column) -> Column:
+def clean_lines(text: Column, footer: str = PAGE_FOOTER) -> Column:
     """Lines without separators, page footers and a closing italic block."""
     lines = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
 
@@ -90,7 +90,7 @@ def clean_lines(text: Column) -> Column:
         return F.when(last.isNull(), lines).otherwise(_let(F.coalesce(last, F.lit(0)), tail))
 
     return F.filter(
-        _let(lines, cut), lambda x: ~x.rlike(SEPARATOR) & ~strip(x).rlike(PAGE_FOOTER)
+        _let(lines, cut), lambda x: ~x.rlike(SEPARATOR) & ~strip(x).rlike(footer)
     )
 
 
@@ -321,12 +321,16 @@ CARRIED = [
     "document_type", "retrieval_mode", "vendor", "vendors", "evidence_strength",
     "provenance", "source_format", "filename",
 ]
+# What retrieval filters by, carried where the manifest has it.
+SCOPE = ["device_family", "transition_class", "site_criticality_scope"]
 
 
 def chunk(
-    manifest: DataFrame, strategies: dict[str, Callable[[Column], Column]] | None = None
+    manifest: DataFrame, strategies: dict[str, Callable[[Column], Column]] | None = None,
+    footer: str = PAGE_FOOTER,
 ) -> DataFrame:
-    """Manifest rows with `text` -> chunk rows, in one pass over the documents."""
+    """Manifest rows with `text` -> chunk rows, in one pass over the documents. `footer` is the
+    pattern of lines that a page repeats at its end."""
     def dispatch(lines: Column) -> Column:
         by_strategy: dict[Callable, list[str]] = {}
         for name, strategy in (strategies or STRATEGIES).items():
@@ -338,13 +342,14 @@ def chunk(
         return pieces
 
     # Bound by name, the cleaned lines are made once per document, not once per use.
-    pieces = _let(clean_lines(F.col("text")), dispatch)
+    pieces = _let(clean_lines(F.col("text"), footer), dispatch)
+    carried = CARRIED + [c for c in SCOPE if c in manifest.columns]
     return (
-        manifest.select("doc_id", *CARRIED, F.posexplode(pieces).alias("chunk_index", "piece"))
+        manifest.select("doc_id", *carried, F.posexplode(pieces).alias("chunk_index", "piece"))
         .select(
             F.concat_ws("_chunk_", "doc_id", F.col("chunk_index").cast("string"))
             .alias("chunk_id"),
-            "doc_id", "chunk_index", F.col("piece.kind").alias("chunk_kind"), *CARRIED,
+            "doc_id", "chunk_index", F.col("piece.kind").alias("chunk_kind"), *carried,
             F.col("piece.text").alias("text"),
         )
     )

@@ -7,6 +7,7 @@ make either as large as the input.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,11 @@ from shiplens.functions.values import null_if_nan, strict_double
 
 
 class ContractViolation(ValueError):
-    """Data that must not reach a model."""
+    """Data that must not reach a model. `offenders` holds every offending value, as a table."""
+
+    def __init__(self, message: str, offenders: DataFrame | None = None) -> None:
+        super().__init__(message)
+        self.offenders = offenders
 
 
 @dataclass(frozen=True)
@@ -155,14 +160,15 @@ def summary(df: DataFrame, contract: TableContract) -> DataFrame:
 def validate(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> DataFrame:
     """The coerced table, or ContractViolation naming the first kind of defect found."""
     require_columns(df, contract)
-    sample = [r[0] for r in duplicate_keys(df, contract).select(contract.key).take(20)]
-    if sample:
-        raise ContractViolation(f"Duplicate {contract.key} values, such as {sample}")
+    if extra := unexpected_columns(df, contract):
+        warnings.warn(f"Columns outside the contract: {extra}", stacklevel=2)
+    repeated = duplicate_keys(df, contract)
+    if n := repeated.count():
+        raise ContractViolation(f"{n} {contract.key} values occur more than once", repeated)
     counts = summary(df, contract).first().asDict()
     broken = {rule: n for rule, n in counts.items() if rule != "rows" and n}
     if broken:
-        values = [tuple(r) for r in offenders(df, contract).take(20)]
-        raise ContractViolation(f"Rows breaking the contract: {broken}; values: {values}")
+        raise ContractViolation(f"Rows breaking the contract: {broken}", offenders(df, contract))
     return coerce(df, contract)
 
 

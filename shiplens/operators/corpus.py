@@ -41,6 +41,7 @@ class CorpusContract:
 
 
 CORPUS = CorpusContract()
+# The fields of a manifest record.
 MANIFEST_FIELDS = [
     "doc_id", "filename", "source_format", "document_type", "retrieval_mode", "vendor",
     "vendors", "device_family", "transition_class", "site_criticality_scope",
@@ -50,7 +51,7 @@ MANIFEST_FIELDS = [
 
 def named_field(text: Column, name: str, values: tuple[str, ...]) -> Column:
     """First value of a named field in any layout: table, bold, colon or plain."""
-    found = F.regexp_extract(text, rf"{name}[\s|:*]+({'|'.join(values)})\b", 1)
+    found = F.regexp_extract(text, rf"(?U){name}[\s|:*]+({'|'.join(values)})\b", 1)
     return F.when(found != "", found)
 
 

@@ -41,10 +41,9 @@ def unparsed_rows(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> DataF
 def require_parseable(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> None:
     row = parse_failures(df, contract).first()
     if row["rows"] and row["failures"] / row["rows"] > MAX_PARSE_FAILURE_RATE:
-        ids = [r[0] for r in unparsed_rows(df, contract).take(20)]
         raise ContractViolation(
             f"Major version does not parse for {row['failures']} of {row['rows']} "
-            f"training rows, such as {ids}"
+            f"training rows", unparsed_rows(df, contract),
         )
 
 

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from shiplens.sources.scratch import materialise
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4_096
 
 
 def _in_ranges(table: DataFrame, value: str, ranges: int) -> DataFrame:
@@ -50,7 +49,7 @@ def running_totals(
     """
     keys = keys or []
     table = materialise(df, "values")
-    ranges = min(math.ceil(table.count() / (rows_per_range or ROWS_PER_RANGE)), MAX_RANGES)
+    ranges = math.ceil(table.count() / (rows_per_range or ROWS_PER_RANGE))
     order = F.col(value).desc() if descending else F.col(value).asc()
     upto = (Window.unboundedPreceding, Window.currentRow)
     if ranges <= 1:  # at most ROWS_PER_RANGE rows in all
@@ -77,7 +76,7 @@ def running_totals(
         *[F.sum(f"_{t}").over(whole).alias(f"{t}_all") for t in totals],
     )
     inside = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(*upto)
-    # At most MAX_RANGES rows per key combination.
+    # One row per range and key combination.
     joined = placed.join(F.broadcast(offsets), [*keys, "_range"])
     return joined.withColumns({
         f"{t}_upto": F.sum(t).over(inside) + F.col(f"_{t}_before") for t in totals

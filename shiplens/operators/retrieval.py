@@ -16,7 +16,7 @@ from shiplens.functions import flags as fl
 from shiplens.functions.embedding import Embedder, embedded, hashed_words
 from shiplens.functions.narrative import query_text
 from shiplens.operators.topk import filtered_topk
-from shiplens.sources.scratch import materialise, spread
+from shiplens.sources.scratch import materialise
 
 EVIDENCE_TYPES = ["Postmortem", "Advisory", "RiskNote"]
 # Routes in order with the most chunks each returns (runbooks: per document).
@@ -24,7 +24,8 @@ ROUTE_LIMITS = {
     "evidence": 5, "transition": 2, "cross_vendor": 2, "runbook": 2, "policy": 2, "matrix": 1,
 }
 VECTOR_ROUTES = ("evidence", "transition", "cross_vendor")
-EDGE = 32  # longer than any flag keyword
+# As many characters as a keyword across a seam can have on one side of it.
+EDGE = max(len(word) for words in fl.CORPUS_FLAG_WORDS.values() for word in words)
 QUERY_COLUMNS = [
     "vendor_name", "device_type", "current_firmware", "target_firmware", "max_cvss_score",
     "site_criticality", "deployment_type", "transition_class",
@@ -39,26 +40,23 @@ def route_number(route: Column) -> Column:
     )
 
 
-def prepare_chunks(
-    chunks: DataFrame, manifest: DataFrame, embed: Embedder = hashed_words
-) -> DataFrame:
+def prepare_chunks(chunks: DataFrame, embed: Embedder = hashed_words) -> DataFrame:
     """The searchable corpus, written once: chunk facts, flag mentions, vectors.
 
+    Chunks carry their record's scope, so a document id that stands twice multiplies nothing.
     `flag_mask` has a bit per flag the chunk mentions. `edge` keeps both ends of the text,
     enough to see a keyword that only appears where two chunks are put side by side.
     """
-    records = manifest.select(
-        "doc_id", "device_family", "transition_class", "site_criticality_scope")
     text = F.col("text")
     lowered = F.lower(text)
     searched = F.col("document_type").isin([*EVIDENCE_TYPES, "Transition", "CrossVendor"])
-    joined = chunks.join(records, "doc_id").withColumns({
+    facts = chunks.withColumns({
         "flag_mask": fl.mention_mask(text),
         "edge": F.concat(F.left(lowered, F.lit(EDGE)), F.lit("\u0000"),
                          F.right(lowered, F.lit(EDGE))),
     })
     return materialise(
-        joined.withColumn("vector", embedded(F.when(searched, text), embed)), "corpus")
+        facts.withColumn("vector", embedded(F.when(searched, text), embed)), "corpus")
 
 
 def _slot(route: str, *parts: Column) -> Column:
@@ -166,7 +164,8 @@ def retrieve(
 
     The columns the routes read are written once: each route is a pass of its own.
     """
-    deployments = spread(materialise(deployments.select(key, *QUERY_COLUMNS), "asked"))
+    asked = deployments.select(key, *QUERY_COLUMNS).repartition(key)  # embedding is the costly part
+    deployments = materialise(asked, "asked")
     found = []
     vector_routes = [r for r in routes if r in VECTOR_ROUTES]
     if vector_routes:

@@ -2,23 +2,19 @@
 
 The filter is an equality on `slot`, applied before anything is scored, and scored pairs
 never become rows: a task multiplies a block of queries with a block of items and emits the
-best k per query. Two plans give the same result: items that fit a size limit are
-broadcast, so queries stream past them without a shuffle; larger item sets are cut, hot
-slots into many blocks, and block winners are merged.
+best k per query. Both sides are cut, hot slots into many blocks, and block winners are
+merged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 256 * 1024 * 1024
 ITEMS_PER_BLOCK = 20_000
-QUERIES_PER_BLOCK = 20_000
+QUERIES_PER_BLOCK = 5_000
 CELLS_PER_PRODUCT = 1_000_000
 DIGITS = 6
 RESULT = "query_id string, slot string, item_id string, score double, rank int"
@@ -73,28 +69,6 @@ def _winners(queries: pd.DataFrame, ids: np.ndarray, items: np.ndarray, slot: st
     return parts
 
 
-def _streamed(queries: DataFrame, items: DataFrame) -> DataFrame:
-    table = items.select("slot", "item_id", "vector").orderBy("slot", "item_id").toArrow()
-    flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    matrix = flat.astype(np.float32).reshape(len(table), -1)
-    ids = table["item_id"].to_numpy()
-    rows = pd.Series(np.arange(len(table))).groupby(table["slot"].to_numpy())
-    held = {slot: (ids[at], matrix[at]) for slot, at in rows.indices.items()}
-    shared = queries.sparkSession.sparkContext.broadcast(held)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts = []
-            for slot, group in batch.groupby("slot"):
-                if slot in shared.value:
-                    ids, matrix = shared.value[slot]
-                    parts += _winners(group, ids, matrix, slot)
-            if parts:
-                yield pd.concat(parts)
-
-    return queries.select("query_id", "slot", "k", "vector").mapInPandas(run, RESULT)
-
-
 def _blocked(
     queries: DataFrame, items: DataFrame, items_per_block: int, queries_per_block: int
 ) -> DataFrame:
@@ -140,14 +114,9 @@ def _blocked(
 
 
 def filtered_topk(
-    queries: DataFrame, items: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES,
+    queries: DataFrame, items: DataFrame, *,
     items_per_block: int = ITEMS_PER_BLOCK, queries_per_block: int = QUERIES_PER_BLOCK,
 ) -> DataFrame:
     """`queries` (query_id, slot, k, vector) and `items` (slot, item_id, vector) to
     (query_id, slot, item_id, score, rank). Ids are strings; vectors are unit arrays."""
-    held = items.agg(
-        F.sum(F.size("vector") * 4 + F.length("item_id") + F.length("slot")).alias("bytes")
-    ).first()["bytes"] or 0
-    if held <= broadcast_bytes:
-        return _streamed(queries, items)
     return _blocked(queries, items, items_per_block, queries_per_block)

@@ -13,12 +13,19 @@ from shiplens.functions.narrative import context_block
 from shiplens.operators import corpus as corpus_ops
 from shiplens.operators import gate, grounding, reteval, retrieval
 from shiplens.operators.chunking import chunk
-from shiplens.sources.scratch import materialise, spread
+from shiplens.sources.scratch import materialise
 
 Generator = Callable[[Sequence[str]], Sequence[str | None]]
+# What the generator is told when no flag is raised, and what a row reads whose vendor
+# the corpus does not cover, around the vendor's name.
 NO_FLAG_NOTE = (
-    "\n\nNOTE: No risk flag is raised, so the evidence cannot account for the score. Say so "
-    "and attribute nothing to it."
+    "\n\nNOTE: This deployment raises none of the risk flags the evidence discusses. "
+    "The evidence therefore does not explain the model score. Say so plainly, and do not "
+    "attribute the score to the evidence."
+)
+REFUSAL = (
+    "No ", " evidence exists in the corpus. Documents about other vendors do not apply, and similarity "
+    "is not relevance. Refer this deployment to an engineer familiar with the vendor.",
 )
 
 
@@ -27,9 +34,9 @@ def build_corpus(
     embed: Embedder = hashed_words,
 ) -> tuple[DataFrame, DataFrame]:
     """(manifest without texts, searchable chunks) of a (filename, text) table."""
-    manifest = spread(materialise(corpus_ops.manifest(documents, contract), "manifest"))
-    return manifest.drop("text"), retrieval.prepare_chunks(
-        chunk(manifest), manifest.drop("text"), embed)
+    read = documents.where(F.col("text").isNotNull()).repartition("filename")
+    manifest = materialise(corpus_ops.manifest(read, contract), "manifest")
+    return manifest.drop("text"), retrieval.prepare_chunks(chunk(manifest), embed)
 
 
 def generated(messages: DataFrame, generate: Generator, batch: int = 16) -> DataFrame:
@@ -51,7 +58,8 @@ def generated(messages: DataFrame, generate: Generator, batch: int = 16) -> Data
 def explain(
     deployments: DataFrame, corpus: DataFrame, generate: Generator | None = None,
     config: gate.GateConfig = gate.GateConfig(), *, embed: Embedder = hashed_words,
-    scored: bool = False, citation: str = grounding.CITATION,
+    scored: bool = False, citation: str = grounding.CITATION, note: str = NO_FLAG_NOTE,
+    refusal_text: tuple[str, str] = REFUSAL,
 ) -> DataFrame:
     """One row per deployment: verdict, context, evidence, text and checks.
 
@@ -65,9 +73,7 @@ def explain(
         context_block(F.col("active_flags"), scored=scored).alias("context"))
     rows = facts.join(verdicts, "query_id").join(blocks, "query_id", "left")
     refusal = F.concat(
-        F.lit("No "), F.coalesce("vendor_name", F.lit("nan")),
-        F.lit(" evidence exists in the corpus; other vendors' documents do not apply. Refer "
-              "this deployment to an engineer who knows the vendor."))
+        F.lit(refusal_text[0]), F.coalesce("vendor_name", F.lit("nan")), F.lit(refusal_text[1]))
     doubt = F.concat(F.lit("Low confidence, not explained: "), F.array_join("reasons", "; "))
     rows = rows.withColumn(
         "text", F.when(F.col("verdict") == "insufficient_evidence", refusal)
@@ -78,7 +84,7 @@ def explain(
     rows = materialise(rows, "explanations")
     message = F.concat(
         F.lit("UPCOMING DEPLOYMENT\n"), "context", F.lit("\n\nHISTORICAL EVIDENCE\n"), "block",
-        F.when(F.col("verdict") == "no_flag_evidence", NO_FLAG_NOTE).otherwise(""))
+        F.when(F.col("verdict") == "no_flag_evidence", F.lit(note)).otherwise(""))
     asked = rows.where(F.col("text").isNull()).select("query_id", message.alias("message"))
     answers = materialise(generated(asked, generate), "answers").withColumnRenamed(
         "text", "answer")

@@ -50,13 +50,20 @@ class EvidenceIndex:
         return row["v"]
 
     def promote(self, version: str) -> str | None:
-        """Points the alias at `version`; returns what it pointed at before."""
+        """Points the alias at `version`; returns what it pointed at before.
+
+        Each promotion is a folder of its own, named by its number, that may not exist yet: of
+        two writers that take the same number one fails.
+        """
+        if not self.versions().where(F.col("index_version") == version).limit(1).count():
+            raise ValueError(f"No version {version} to promote")
         previous = self.current()
         log = self._table("promotions")
         number = 0 if log is None else log.agg(F.max("number")).first()[0] + 1
         self.spark.createDataFrame(
             [(self.alias, version, number)], "alias string, index_version string, number long"
-        ).coalesce(1).write.mode("append").parquet(f"{self.root}/promotions")
+        ).coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.root}/promotions/step={number:012d}")
         return previous
 
     def build_and_promote(self, corpus: DataFrame, gates, stamp: str | None = None) -> str | None:
@@ -70,6 +77,8 @@ class EvidenceIndex:
 
     def read(self, version: str | None = None) -> DataFrame:
         version = version or self.current()
+        if version is None:
+            raise ValueError(f"No version of {self.alias} is promoted")
         return self._table("versions").where(F.col("index_version") == version).drop(
             "index_version")
 

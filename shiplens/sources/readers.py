@@ -91,11 +91,18 @@ def read_staged(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(filename, text) of every markdown document in a folder."""
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return spark.read.text(f"{folder}/*.md", wholetext=True).select(
-        F.url_decode(name).alias("filename"), F.col("value").alias("text")
-    )
+    """(filename, text) of every file in a folder. Markdown is read; the text of any other format
+    is null, which `unreadable_documents` reports."""
+    files = spark.read.format("binaryFile").load(folder)
+    name = F.element_at(F.split("path", "/"), -1)
+    text = F.when(F.lower(name).endswith(".md"), F.col("content").cast("string"))
+    return files.select(name.alias("filename"), text.alias("text"))
+
+
+def unreadable_documents(documents: DataFrame) -> DataFrame:
+    """(rule, filename) of documents that no reader takes."""
+    return documents.where(F.col("text").isNull()).select(
+        F.lit("unreadable_format").alias("rule"), "filename")
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

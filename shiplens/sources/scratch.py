@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Folders of sessions that name none, removed when the driver ends.
+_OWN: list[tempfile.TemporaryDirectory] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -17,24 +19,15 @@ def scratch_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{SETTING} must name a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shiplens-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if not _OWN:
+        _OWN.append(tempfile.TemporaryDirectory(prefix="shiplens-", ignore_cleanup_errors=True))
+    return _OWN[0].name
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """For CPU-heavy steps over few files, which would leave most cores idle.
-
-    Tables of as many files as there are cores or more are left as they are: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
-
-
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Written once and read back: later passes neither recompute it nor depend on the
     executors that made it."""

@@ -6,22 +6,32 @@ named by the batch id, so a replayed batch replaces its own output and nothing e
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from shiplens.operators.contract import DEPLOYMENTS, TableContract, split_tagged, with_reasons
 
 Score = Callable[[DataFrame], DataFrame]
+REPEATED = "_came_before"
 
 
 def score_batch(
     batch: DataFrame, batch_id: int, score: Score, scores: str, rejects: str,
     contract: TableContract,
 ) -> None:
-    tagged = with_reasons(batch, contract).persist()
+    late = REPEATED in batch.columns
+    tagged = with_reasons(batch, contract)
+    if late:
+        again = F.array_union("reasons", F.array(F.lit("duplicate_key")))
+        tagged = tagged.withColumn(
+            "reasons", F.when(F.col(REPEATED), again).otherwise(F.col("reasons"))).drop(REPEATED)
+    tagged = tagged.persist()
     good, bad = split_tagged(tagged, contract)
     folder = f"run=batch_{batch_id:012d}"
     score(good).write.mode("overwrite").parquet(f"{scores}/{folder}")
@@ -36,13 +46,12 @@ def score_stream(
 ) -> StreamingQuery:
     """Starts the query; with `once` it takes what is available and stops.
 
-    A key repeated inside a batch is quarantined by the contract. `unique_within`
-    (event-time column, delay) also drops keys already seen in earlier batches, with state
-    bounded by the watermark.
+    A key repeated inside a batch is quarantined by the contract. With `unique_within`
+    (event-time column, delay) so are rows whose key came in an earlier batch; a key is held
+    for the delay after its event time, so the state is bounded by the watermark.
     """
     if unique_within is not None:
-        column, delay = unique_within
-        rows = rows.withWatermark(column, delay).dropDuplicatesWithinWatermark([contract.key])
+        rows = with_repeats(rows, contract.key, *unique_within)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch, batch_id, score, scores, rejects, contract)
@@ -52,6 +61,28 @@ def score_stream(
     return writer.trigger(**trigger).start()
 
 
+def with_repeats(rows: DataFrame, key: str, column: str, delay: str) -> DataFrame:
+    """Adds REPEATED: whether the row's key came in an earlier batch. No row is dropped."""
+    hold = int(pd.Timedelta(delay).total_seconds() * 1000)
+    schema = T.StructType([*rows.schema.fields, T.StructField(REPEATED, T.BooleanType())])
+
+    def run(_key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, latest = state.exists, state.get[0] if state.exists else 0
+        for frame in frames:
+            times = frame[column].dropna()
+            if len(times):
+                latest = max(latest, int(times.max().timestamp() * 1000))
+            yield frame.assign(**{REPEATED: seen})
+        state.update((latest,))
+        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + hold + 1)
+
+    return rows.withWatermark(column, delay).groupBy(key).applyInPandasWithState(
+        run, schema, "latest long", "append", "EventTimeTimeout")
+
+
 def rejected_counts(rejects: DataFrame) -> DataFrame:
     """(reason, rows) of a quarantine table."""
     return rejects.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(

@@ -25,17 +25,37 @@ def test_valid_table_is_coerced(spark):
 
 @pytest.mark.parametrize("changes, word", [
     ({"deployment_outcome": "ROLLBACK_REQUIRED"}, "invalid_outcome"),
-    ({"deployment_outcome": None}, "<missing>"),
+    ({"deployment_outcome": None}, "invalid_outcome"),
     ({"deployment_date": "soon"}, "unparseable_date"),
     ({"uptime_days": "not-a-number"}, "non_numeric:uptime_days"),
     ({"uptime_days": "1d"}, "non_numeric:uptime_days"),
-    ({"deployment_id": "deployment-0001"}, "deployment-0001"),
+    ({"deployment_id": "deployment-0001"}, "1 deployment_id values occur more than once"),
 ])
 def test_each_defect_stops_the_table(spark, changes, word):
     with pytest.raises(ct.ContractViolation, match=word):
         ct.validate(broken(spark, **changes))
 
 
+def test_every_offender_comes_with_the_violation(spark):
+    rows = training_rows(60)
+    for i, row in enumerate(rows):
+        row["uptime_days"] = f"bad {i}"
+    with pytest.raises(ct.ContractViolation) as caught:
+        ct.validate(frame(spark, rows))
+    assert {r["value"] for r in caught.value.offenders.collect()} == {f"bad {i}" for i in range(60)}
+    rows = training_rows(60)
+    for i, row in enumerate(rows):
+        row["deployment_id"] = f"d{i // 2}"
+    with pytest.raises(ct.ContractViolation, match="30") as caught:
+        ct.validate(frame(spark, rows))
+    assert {r["deployment_id"] for r in caught.value.offenders.collect()} == {f"d{i}" for i in range(30)}
+
+
+def test_columns_outside_the_contract_are_warned_of(spark):
+    with pytest.warns(UserWarning, match="extra"):
+        ct.validate(frame(spark, training_rows(4)).withColumn("extra", F.lit(1)))
+
+
 def test_missing_columns_are_named(spark):
     df = frame(spark, training_rows(4)).drop("deployment_date", "cve_count")
     with pytest.raises(ct.ContractViolation, match="cve_count.*deployment_date"):

@@ -3,53 +3,64 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shiplens.functions import flags as fl
 from shiplens.functions.embedding import hashed_words
 from shiplens.operators import chunking, corpus, gate, grounding, reteval, retrieval
 from shiplens.operators.topk import filtered_topk
 from shiplens.plans import evidence
 from shiplens.sources.evidence_index import EvidenceIndex
-from tests import brute_chunks
 
-POSTMORTEM = """# Failure report
-## Siemens PLC
+OUTAGE = """# Gateway outage at the water plant
+
+Document ID: FG-DOC-052
+Vendor: Schneider
+Device Family: Gateway
+Evidence Strength: LOW
+
+Six gateways lost their routes: DEP_004101, DEP_004100, DEP_004101 again, and DEP_77.
+"""
+DRIFT = """# Clock drift
 | Field | Value |
 |---|---|
-| Document ID | FG-DOC-001 |
-| Vendor | Siemens |
-| Device Family | PLC |
-| Evidence Strength | HIGH |
+| Document ID | FG-DOC-058 |
+| Vendor | Honeywell |
+| Device Family | RTU |
+| Evidence Strength | MEDIUM |
 
-## Cause
-The kernel was touched in DEP_000001 and DEP_000002, also DEP_0143.
+One unit only, DEP_009000.
 """
-CROSS = """# Cascade
-**Document ID:** FG-DOC-002
-**Primary Vendor:** Siemens
-**Dependent Vendor:** Cisco
-**Evidence Strength:** MEDIUM
+PAIR = """# Pump controllers behind a switch
+**Document ID:** FG-DOC-130
+**Primary Vendor:** Honeywell
+**Dependent Vendor:** Schneider
+**Evidence Strength:** HIGH
+
+Seen at three sites.
 """
-POLICY = """# Kernel policy
-Document ID: FG-DOC-003
-Site Criticality Scope: MEDIUM
-Evidence Strength LOW
+NIGHT = """# Work at night
+Document ID FG-DOC-410
+Site Criticality Scope LOW
+Evidence Strength HIGH
 
 ## Mandatory Rules
-1. Review kernel changes.
-2. Have someone on site.
+1. Two people on the call.
 
 ## Exception Process
-Ask the architect.
+The shift lead decides.
 """
-META = "# About\n| HIGH | 100+ | 1 |\n| MEDIUM | 20+ | 1 |\n| LOW | 5+ | 1 |\nUPC_ ids are never cited."
+ABOUT = "# Reading order\n| HIGH | 90+ | 2 |\n| MEDIUM | 30+ | 1 |\n| LOW | 3+ | 1 |\nNothing upcoming is cited."
+OUTAGE_FILE = "Postmortem_Schneider_Gateway_FAILED_FG-DOC-052.md"
+DRIFT_FILE = "Postmortem_Honeywell_RTU_DEGRADED_FG-DOC-058.md"
+PAIR_FILE = "CrossVendor_Honeywell_to_Schneider_FG-DOC-130.md"
+NIGHT_FILE = "Policy_Night_FG-DOC-410.md"
 FILES = {
-    "Postmortem_Siemens_PLC_ROLLBACK_FG-DOC-001.md": POSTMORTEM,
-    "CrossVendor_Siemens_to_Cisco_FG-DOC-002.md": CROSS,
-    "Policy_Kernel_FG-DOC-003.md": POLICY, "META_About.md": META,
+    OUTAGE_FILE: OUTAGE, DRIFT_FILE: DRIFT, PAIR_FILE: PAIR, NIGHT_FILE: NIGHT, "META_Order.md": ABOUT,
 }
 
 
@@ -58,20 +69,26 @@ def documents(spark, **changes):
     return spark.createDataFrame(list(files.items()), "filename string, text string")
 
 
-def test_manifest_reads_all_four_layouts(spark):
-    got = {r["doc_id"]: r for r in corpus.manifest(documents(spark)).collect()}
-    assert got["FG-DOC-001"]["source_deployment_ids"] == ["DEP_000001", "DEP_000002"]
-    assert got["FG-DOC-001"]["malformed_refs"] == ["DEP_0143"]
-    assert got["FG-DOC-002"]["vendors"] == ["Siemens", "Cisco"]
-    assert got["FG-DOC-002"]["vendor"] == "cross-vendor"
-    assert got["FG-DOC-003"]["site_criticality_scope"] == "MEDIUM"
-    assert [got[f"FG-DOC-00{i}"]["evidence_strength"] for i in range(4)] == [
-        None, "HIGH", "MEDIUM", "LOW"]
+def test_manifest_reads_every_layout(spark):
+    got = {r["filename"]: r for r in corpus.manifest(documents(spark)).collect()}
+    assert got[OUTAGE_FILE]["source_deployment_ids"] == ["DEP_004100", "DEP_004101"]
+    assert got[OUTAGE_FILE]["malformed_refs"] == ["DEP_77"]
+    assert got[DRIFT_FILE]["source_deployment_ids"] == ["DEP_009000"]
+    assert (got[PAIR_FILE]["vendor"], got[PAIR_FILE]["vendors"]) == ("cross-vendor", ["Honeywell", "Schneider"])
+    assert got[NIGHT_FILE]["site_criticality_scope"] == "LOW"
+    assert [got[f]["evidence_strength"] for f in FILES] == ["LOW", "MEDIUM", "HIGH", "HIGH", None]
+    assert got["META_Order.md"]["doc_id"] == "FG-DOC-000"
+
+
+def test_named_fields_take_any_white_space(spark):
+    row = spark.createDataFrame([("Vendor:\u00a0Cisco",)], "t string").select(
+        corpus.named_field(F.col("t"), "Vendor", ("Cisco",))).first()
+    assert row[0] == "Cisco"
 
 
 def problems(spark, docs=None, **record):
     reviewed = corpus.manifest(documents(spark)).drop("text")
-    name = "Postmortem_Siemens_PLC_ROLLBACK_FG-DOC-001.md"
+    name = OUTAGE_FILE
     for column, value in record.items():
         kind = dict(reviewed.dtypes)[column]
         reviewed = reviewed.withColumn(column, F.when(
@@ -84,7 +101,8 @@ def test_untouched_corpus_is_clean(spark):
     assert problems(spark) == set()
     reviewed = corpus.manifest(documents(spark))
     totals = corpus.strength_totals(reviewed, documents(spark)).collect()
-    assert all(r["claimed"] == r["carried"] == 1 for r in totals)
+    assert {r["carried"] for r in totals} == {1, 2}
+    assert all(r["claimed"] == r["carried"] for r in totals)
 
 
 @pytest.mark.parametrize("record, rule", [
@@ -93,24 +111,19 @@ def test_untouched_corpus_is_clean(spark):
     ({"evidence_strength": None}, "missing_evidence_strength"),
     ({"vendors": ["Acme"]}, "unknown_vendor"), ({"device_family": "Toaster"}, "unknown_device_family"),
     ({"transition_class": "minor"}, "unknown_transition_class"), ({"sha256": "0"}, "content_changed"),
-    ({"vendor": "Cisco"}, "differs:vendor"),
+    ({"vendor": "Siemens"}, "differs:vendor"),
 ])
 def test_record_rules_fire(spark, record, rule):
     assert rule in problems(spark, **record)
 
 
 @pytest.mark.parametrize("name, old, new, rule", [
-    ("Postmortem_Siemens_PLC_ROLLBACK_FG-DOC-001.md", "ID | FG-DOC-001", "ID | FG-DOC-009",
-     "body_id_disagrees"),
-    ("Postmortem_Siemens_PLC_ROLLBACK_FG-DOC-001.md", "Vendor | Siemens", "Vendor | Cisco",
-     "body_vendor_disagrees"),
-    ("Postmortem_Siemens_PLC_ROLLBACK_FG-DOC-001.md", "Family | PLC", "Family | HMI",
-     "body_family_disagrees"),
-    ("Postmortem_Siemens_PLC_ROLLBACK_FG-DOC-001.md", "The kernel", "UPC_00001: the kernel",
-     "references_upcoming"),
-    ("CrossVendor_Siemens_to_Cisco_FG-DOC-002.md", "Dependent Vendor:** Cisco",
-     "Dependent Vendor:** Honeywell", "body_vendor_pair_disagrees"),
-    ("Policy_Kernel_FG-DOC-003.md", "Scope: MEDIUM", "Scope: ALL", "differs:site_criticality_scope"),
+    (DRIFT_FILE, "ID | FG-DOC-058", "ID | FG-DOC-085", "body_id_disagrees"),
+    (OUTAGE_FILE, "Vendor: Schneider", "Vendor: Honeywell", "body_vendor_disagrees"),
+    (OUTAGE_FILE, "Family: Gateway", "Family: Switch", "body_family_disagrees"),
+    (DRIFT_FILE, "One unit", "UPC_00400 and one unit", "references_upcoming"),
+    (PAIR_FILE, "Dependent Vendor:** Schneider", "Dependent Vendor:** Cisco", "body_vendor_pair_disagrees"),
+    (NIGHT_FILE, "Scope LOW", "Scope ANY", "differs:site_criticality_scope"),
 ])
 def test_body_rules_fire(spark, name, old, new, rule):
     assert rule in problems(spark, docs={name: FILES[name].replace(old, new)})
@@ -118,44 +131,113 @@ def test_body_rules_fire(spark, name, old, new, rule):
 
 def test_corpus_rules(spark):
     reviewed = corpus.manifest(documents(spark))
-    history = spark.createDataFrame([("DEP_000001", "Siemens", "PLC")],
-                                    "deployment_id string, vendor_name string, device_type string")
-    assert [r["deployment_id"] for r in corpus.unresolved_refs(reviewed, history).collect()] == [
-        "DEP_000002"]
-    lost = reviewed.where("doc_id <> 'FG-DOC-002'")
+    history = spark.createDataFrame(
+        [("DEP_004100", "Schneider", "Switch"), ("DEP_004101", "Cisco", "Gateway")],
+        "deployment_id string, vendor_name string, device_type string")
+    assert [r["deployment_id"] for r in corpus.unresolved_refs(reviewed, history).collect()] == ["DEP_009000"]
+    lost = reviewed.where("doc_id <> 'FG-DOC-058'")
     got = {(r["rule"], r["detail"]) for r in corpus.presence_problems(
         documents(spark), lost, documents(spark)).collect()}
     assert got == {("presence", "directory only")}
-    assert corpus.duplicate_doc_ids(reviewed.unionByName(reviewed)).count() == 4
-    row = corpus.gold_consistency(reviewed, history).where("doc_id = 'FG-DOC-001'").first()
-    assert (row["cited"], row["resolved"], row["vendor_match"], row["family_match"]) == (2, 1, 1.0, 1.0)
-
-
-LINES = [
-    "", "", "# Title", "## Part", "## Mandatory Rules", "## Exception Process", "### Sub", "plain text",
-    "ends here.", "1. first", "2. second", "3. third", "4. fourth", "5. fifth", "12. far", "| a | b |",
-    "|---|---|", "- dash", "> quote", "---", "*closing note*", "  indented words", "word " * 300,
-    "Do not reference this document here",
-]
+    assert corpus.duplicate_doc_ids(reviewed.unionByName(reviewed)).count() == len(FILES)
+    rows_ = {r["doc_id"]: r for r in corpus.gold_consistency(reviewed, history).collect()}
+    row = rows_["FG-DOC-052"]
+    assert (row["cited"], row["resolved"], row["vendor_match"], row["family_match"]) == (2, 2, 0.5, 0.5)
+    assert rows_["FG-DOC-058"]["resolved"] == 0
 
 
-def test_strategies_match_a_line_by_line_statement(spark):
-    rng = random.Random(7)
-    docs = {f"{kind}_{i}": "\n".join(rng.choices(LINES, k=rng.randint(0, 18)))
-            for kind in brute_chunks.STRATEGIES for i in range(150)}
-    docs |= {f"Runbook_s{i}": "\n".join(rng.choices(LINES[7:15], k=14)) for i in range(150)}
+def chunked(spark, docs):
+    """{name: [(kind, text)]} of documents named <type>_<anything>."""
     rows = [(n, n.split("_")[0], t) for n, t in docs.items()]
     df = spark.createDataFrame(rows, "doc_id string, document_type string, text string").withColumns({
         "retrieval_mode": F.lit("x"), "vendor": F.lit("x"), "vendors": F.array(F.lit("x")),
         "evidence_strength": F.lit("x"), "provenance": F.lit("x"), "source_format": F.lit("md"),
         "filename": F.col("doc_id")}).repartition(4)
     got: dict[str, list] = {n: [] for n in docs}
-    for r in chunking.chunk(df).orderBy("doc_id", "chunk_index").collect():
+    for i, r in enumerate(chunking.chunk(df).orderBy("doc_id", "chunk_index").collect()):
         assert r["chunk_id"] == f"{r['doc_id']}_chunk_{r['chunk_index']}"
+        assert r["chunk_index"] == len(got[r["doc_id"]])
         got[r["doc_id"]].append((r["chunk_kind"], r["text"]))
-    for name, kind, text in rows:
-        want = brute_chunks.STRATEGIES[kind](brute_chunks.clean(text))
-        assert got[name] == want, (name, text)
+    return got
+
+
+HAND = {
+    "Postmortem_parts": ("# Title\nopening\n## A\nfirst\n## B\nsecond", [
+        ("prose", "# Title\nopening"), ("prose", "## A\nfirst"), ("prose", "## B\nsecond")]),
+    "Transition_bare_heading": ("# Title\n## A\ntext\n---\n## Z", [("whole", "# Title\n## A\ntext\n## Z")]),
+    "Postmortem_closing": ("## A\ntext\n---\n*to be read with care*", [("whole", "## A\ntext")]),
+    "CrossVendor_footer": ("## A\ntext\nDo not reference this document in tickets", [("whole", "## A\ntext")]),
+    "Matrix_whole": ("| a |\n|---|\n| b |", [("whole", "| a |\n|---|\n| b |")]),
+    "META_whole": ("# One\n## Two\nthree", [("whole", "# One\n## Two\nthree")]),
+    "Policy_two_rules": (
+        "# Rules of the house\nwhy\n## Mandatory Rules\n1. wait\n2. ask\n## Exception Process\nthe lead decides", [
+            ("prose", "# Rules of the house\nwhy"),
+            ("rule", "# Rules of the house\n## Mandatory Rules\n1. wait\n\n## Exception Process\nthe lead decides"),
+            ("rule", "# Rules of the house\n## Mandatory Rules\n2. ask\n\n## Exception Process\nthe lead decides")]),
+    "Policy_no_exception": ("## Mandatory Rules\n1. wait", [("whole", "## Mandatory Rules\n1. wait")]),
+}
+
+
+def test_chunks_written_by_hand(spark):
+    got = chunked(spark, {n: t for n, (t, _) in HAND.items()})
+    for name, (_, want) in HAND.items():
+        assert got[name] == want, name
+
+
+def marked_documents(kinds, seed=23):
+    """Random documents in which every line that counts carries a word of its own."""
+    rng, docs = random.Random(seed), {}
+    shapes = ["", "# h {}", "## h {}", "### h {}", "plain {}", "1. step {}", "2. step {}", "3. step {}", "7. step {}",
+              "| cell {} |", "- item {}", "word {} " + "w " * 120, "---"]
+    for kind in kinds:
+        for i in range(80):
+            lines = rng.choices(shapes, k=rng.randint(1, 30))
+            docs[f"{kind}_{i}"] = "\n".join(x.format(f"m{n}") for n, x in enumerate(lines))
+    return docs
+
+
+def marks(text):
+    return [w for w in text.replace("|", " ").split() if w[:1] == "m" and w[1:].isdigit()]
+
+
+def test_nothing_is_lost_and_order_is_kept(spark):
+    docs = marked_documents(["Postmortem", "Transition", "CrossVendor", "RiskNote", "Matrix", "META", "Advisory", "Runbook"])
+    for name, chunks in chunked(spark, docs).items():
+        seen = list(dict.fromkeys(m for _, text in chunks for m in marks(text)))
+        assert set(seen) == set(marks(docs[name])), name
+        if name.split("_")[0] not in ("Advisory", "Runbook"):  # these repeat and move headings
+            assert seen == marks(docs[name]), name
+
+
+def test_structure_is_kept_whole(spark):
+    table = "\n".join(["| a | b |", "|---|---|", *[f"| {i} | x |" for i in range(40)]])
+    steps = "\n".join(f"{i}. do {i}" for i in range(1, 18))
+    rules = "\n".join(f"{i}. rule {i}" for i in range(1, 8))
+    got = chunked(spark, {
+        "Advisory_t": f"# Notice\nbefore\n\n{table}\n\nafter", "Runbook_s": f"# Steps\nintro\n\n{steps}\n\nend",
+        "Policy_r": f"# P\nwhy\n## Mandatory Rules\n{rules}\n## Exception Process\nask",
+        "RiskNote_n": "\n\n".join(f"paragraph {i} " + "long words stand here " * 12 for i in range(30)),
+    })
+    held = [text for _, text in got["Advisory_t"] if "|---|---|" in text]
+    assert len(held) == 1 and held[0].count("\n| ") >= 41  # a table is never cut
+    sizes = [sum(line.split(". ")[0].isdigit() for line in text.split("\n")) for kind, text in got["Runbook_s"] if kind == "step"]
+    assert sum(sizes) == 17 and max(sizes) - min(sizes) <= 1  # even groups of steps
+    assert [sum(f"{i}. rule" in text for i in range(1, 8)) for kind, text in got["Policy_r"] if kind == "rule"] == [1] * 7
+    low, high = chunking.NOTE_TOKENS
+    assert all(low * 3 <= len(text) <= high * 5 for _, text in got["RiskNote_n"][:-1])
+
+
+def test_a_long_document_takes_time_in_proportion(spark):
+    """Four times the lines must not take ten times as long."""
+    def seconds(n):
+        text = "# R\n" + "\n".join(f"{i % 9 + 1}. step {i}" for i in range(n))
+        chunked(spark, {"Runbook_w": "1. a"})
+        start = time.perf_counter()
+        chunked(spark, {"Runbook_long": text})
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(1600) < 10 * max(seconds(400), 0.5)
 
 
 def chunk_rows(spark, rows):
@@ -202,7 +284,7 @@ def unit(rng, n, d=8):
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def test_topk_paths_agree_with_brute_force(spark):
+def test_topk_agrees_with_brute_force_however_it_is_cut(spark):
     rng = np.random.default_rng(0)
     slots = np.where(rng.random(240) < 0.4, "hot", rng.choice(["a", "b", "c"], 240))
     items = unit(rng, 240)
@@ -225,38 +307,47 @@ def test_topk_paths_agree_with_brute_force(spark):
                 for r in filtered_topk(q_df, i_df, **options).collect()}
 
     assert got() == want
-    assert got(broadcast_bytes=0, items_per_block=30, queries_per_block=9) == want
+    assert got(items_per_block=30, queries_per_block=9) == got(items_per_block=7, queries_per_block=50) == want
 
 
 RECORDS = [
-    ("FG-DOC-001", "Postmortem", ["Siemens"], "PLC", None, None, ["DEP_000001", "DEP_000009"]),
-    ("FG-DOC-002", "Advisory", ["Siemens"], "PLC", None, None, []),
-    ("FG-DOC-003", "RiskNote", ["Siemens"], "PLC", None, None, []),
-    ("FG-DOC-004", "Runbook", ["Siemens"], "PLC", None, None, ["DEP_000002"]),
-    ("FG-DOC-005", "Transition", ["Siemens"], None, "major", None, ["DEP_000003"]),
-    ("FG-DOC-006", "CrossVendor", ["Siemens", "Cisco"], None, None, None, []),
-    ("FG-DOC-007", "CrossVendor", ["Cisco", "Siemens"], None, None, None, []),
-    ("FG-DOC-008", "Policy", [], None, None, "HIGH", []),
-    ("FG-DOC-009", "Matrix", [], None, None, None, []),
-    ("FG-DOC-010", "Policy", [], None, None, "MEDIUM", []),
+    ("FG-DOC-311", "Postmortem", ["Honeywell"], "RTU", None, None, ["DEP_004100"]),
+    ("FG-DOC-312", "Advisory", ["Honeywell"], "RTU", None, None, []),
+    ("FG-DOC-314", "Postmortem", ["Cisco"], "RTU", None, None, ["DEP_004102"]),
+    ("FG-DOC-320", "Transition", ["Honeywell"], None, "extreme", None, ["DEP_004103", "DEP_004104"]),
+    ("FG-DOC-321", "Transition", ["Honeywell"], None, "major", None, []),
+    ("FG-DOC-330", "CrossVendor", ["Honeywell", "Schneider"], None, None, None, []),
+    ("FG-DOC-331", "CrossVendor", ["Schneider", "Honeywell"], None, None, None, []),
+    ("FG-DOC-340", "Runbook", ["Honeywell"], "RTU", None, None, []),
+    ("FG-DOC-341", "Runbook", ["Honeywell"], "HMI", None, None, ["DEP_004105"]),
+    ("FG-DOC-342", "Runbook", ["Honeywell"], "RTU", None, None, []),
+    ("FG-DOC-350", "Policy", [], None, None, "LOW", []),
+    ("FG-DOC-351", "Policy", [], None, None, "HIGH", []),
+    ("FG-DOC-360", "Matrix", [], None, None, None, []),
+    ("FG-DOC-361", "Matrix", [], None, None, None, []),
 ]
 TEXTS = [
-    ("FG-DOC-001", 0, "prose", "kernel rollback of a Siemens PLC after a major"),
-    ("FG-DOC-002", 0, "prose", "version of the PLC firmware failed"),
-    ("FG-DOC-003", 0, "prose", "a note on kernel failures"),
-    ("FG-DOC-004", 0, "prose", "rollback"), ("FG-DOC-004", 1, "step", "1. a\n2. b"),
-    ("FG-DOC-004", 2, "step", "3. c\n4. d"), ("FG-DOC-005", 0, "prose", "transition"),
-    ("FG-DOC-006", 0, "prose", "Siemens to Cisco"), ("FG-DOC-007", 0, "prose", "Cisco to Siemens"),
-    ("FG-DOC-008", 0, "rule", "1. kernel_touched needs review. Exception Process"),
-    ("FG-DOC-008", 1, "whole", "kernel bootloader cvss emergency"),
-    ("FG-DOC-009", 0, "whole", "| Siemens | HIGH |"),
-    ("FG-DOC-010", 0, "rule", "1. kernel_touched needs a lab. Exception Process"),
+    ("FG-DOC-311", 0, "prose", "the bootloader stopped after a repeat"),
+    ("FG-DOC-311", 1, "prose", "failure of the RTU clock, bootloader replaced"),
+    ("FG-DOC-312", 0, "prose", "advice on clocks of an RTU"),
+    ("FG-DOC-314", 0, "prose", "bootloader of another maker"),
+    ("FG-DOC-320", 0, "prose", "across three majors"), ("FG-DOC-320", 1, "prose", "what broke"),
+    ("FG-DOC-320", 2, "prose", "what held"), ("FG-DOC-321", 0, "prose", "one major only"),
+    ("FG-DOC-330", 0, "prose", "pumps wait for a switch"), ("FG-DOC-331", 0, "prose", "a switch waits for pumps"),
+    ("FG-DOC-340", 0, "prose", "before you begin"), ("FG-DOC-340", 1, "step", "1. stop\n2. copy"),
+    ("FG-DOC-340", 2, "step", "3. write\n4. start"), ("FG-DOC-341", 0, "prose", "screens only"),
+    ("FG-DOC-342", 0, "prose", "short form"),
+    ("FG-DOC-350", 0, "whole", "bootloader cvss emergency tier 1"),
+    ("FG-DOC-350", 1, "rule", "1. cvss needs a date. Exception Process"),
+    ("FG-DOC-350", 2, "rule", "2. bootloader and cvss need two people. Exception Process"),
+    ("FG-DOC-351", 0, "rule", "1. bootloader needs a board. Exception Process"),
+    ("FG-DOC-360", 0, "whole", "| Cisco | LOW |"), ("FG-DOC-361", 0, "whole", "| Honeywell | LOW |\n| Cisco | HIGH |"),
 ]
 BASE = {
-    "deployment_id": "U1", "vendor_name": "Siemens", "device_type": "PLC", "current_firmware": "4.2",
-    "target_firmware": "5.0", "max_cvss_score": 7.9, "site_criticality": "HIGH",
-    "deployment_type": "STANDARD", "transition_class": "major",
-    "cross_vendor_dependency_count": 2.0, "active_flags": ["kernel_touched"],
+    "deployment_id": "N7", "vendor_name": "Honeywell", "device_type": "RTU", "current_firmware": "2.9",
+    "target_firmware": "6.1", "max_cvss_score": 8.8, "site_criticality": "LOW",
+    "deployment_type": "PLANNED", "transition_class": "extreme",
+    "cross_vendor_dependency_count": 1.0, "active_flags": ["bootloader_touched", "high_cvss"],
 }
 ROW = ("deployment_id string, vendor_name string, device_type string, current_firmware string,"
        "target_firmware string, max_cvss_score double, site_criticality string,"
@@ -278,12 +369,21 @@ def records(spark):
 
 @pytest.fixture(scope="module")
 def searchable(spark, records):
-    facts = {r[0]: (r[1], r[2]) for r in RECORDS}
+    facts = {r[0]: r for r in RECORDS}
     chunks = spark.createDataFrame(
-        [(f"{d}_chunk_{i}", d, i, k, facts[d][0], facts[d][1], t) for d, i, k, t in TEXTS],
-        "chunk_id string, doc_id string, chunk_index int, chunk_kind string,"
-        "document_type string, vendors array<string>, text string")
-    return retrieval.prepare_chunks(chunks, records)
+        [(f"{d}_chunk_{i}", d, i, k, *facts[d][1:6], t) for d, i, k, t in TEXTS],
+        "chunk_id string, doc_id string, chunk_index int, chunk_kind string, document_type string,"
+        "vendors array<string>, device_family string, transition_class string,"
+        "site_criticality_scope string, text string")
+    return retrieval.prepare_chunks(chunks)
+
+
+def test_a_document_id_that_stands_twice_multiplies_nothing(spark):
+    files = {"Postmortem_Honeywell_RTU_FAILED_FG-DOC-311.md": "# A\nfirst",
+             "Postmortem_Cisco_HMI_FAILED_FG-DOC-311.md": "# B\nsecond", "notes.pdf": None}
+    _, chunks = evidence.build_corpus(spark.createDataFrame(list(files.items()), "filename string, text string"))
+    assert sorted((r["vendors"][0], r["device_family"], r["text"]) for r in chunks.collect()) == [
+        ("Cisco", "HMI", "# B\nsecond"), ("Honeywell", "RTU", "# A\nfirst")]
 
 
 def routed(spark, searchable, **change):
@@ -295,19 +395,23 @@ def routed(spark, searchable, **change):
 
 def test_every_route_for_a_covered_row(spark, searchable):
     got = routed(spark, searchable)
-    assert set(got["evidence"]) == {"001.0", "002.0", "003.0"}
-    assert got["transition"] == ["005.0"] and got["cross_vendor"] == ["006.0"]
-    assert got["runbook"] == ["004.0", "004.1"]
-    assert got["policy"] == ["008.0", "008.1"] and got["matrix"] == ["009.0"]
+    assert set(got["evidence"]) == {"311.0", "311.1", "312.0"}
+    assert set(got["transition"]) < {"320.0", "320.1", "320.2"} and len(got["transition"]) == 2
+    assert got["cross_vendor"] == ["330.0"]
+    assert got["runbook"] == ["340.0", "340.1", "342.0"]
+    assert got["policy"] == ["350.2", "350.1"]  # more flags first, rules before whole texts
+    assert got["matrix"] == ["361.0"]
+    assert routed(spark, searchable, vendor_name="Cisco")["matrix"] == ["360.0"]
 
 
 @pytest.mark.parametrize("change, missing", [
-    ({"vendor_name": "Moxa"}, {"evidence", "transition", "cross_vendor", "runbook", "matrix"}),
-    ({"device_type": "HMI"}, {"runbook"}), ({"transition_class": None}, {"transition"}),
-    ({"transition_class": "extreme"}, {"transition"}),
+    ({"vendor_name": "Acme"}, {"evidence", "transition", "cross_vendor", "runbook", "matrix"}),
+    ({"vendor_name": "Schneider"}, {"evidence", "transition", "runbook", "matrix"}),
+    ({"device_type": "Switch"}, {"runbook"}), ({"transition_class": None}, {"transition"}),
+    ({"transition_class": "minor"}, {"transition"}),
     ({"cross_vendor_dependency_count": 0.0}, {"cross_vendor"}),
     ({"cross_vendor_dependency_count": None}, {"cross_vendor"}),
-    ({"site_criticality": "LOW"}, {"policy"}), ({"active_flags": ["tier_1_device"]}, {"policy"}),
+    ({"site_criticality": "MEDIUM"}, {"policy"}), ({"active_flags": ["kernel_touched"]}, {"policy"}),
 ])
 def test_a_route_without_a_match_returns_nothing(spark, searchable, change, missing):
     assert set(retrieval.ROUTE_LIMITS) - set(routed(spark, searchable, **change)) == missing
@@ -322,72 +426,77 @@ def judged(spark, searchable, config=gate.GateConfig(), **change):
 def test_gate(spark, searchable):
     assert judged(spark, searchable)["verdict"] == "concern_found"
     assert judged(spark, searchable, active_flags=[])["verdict"] == "no_flag_evidence"
-    unknown = judged(spark, searchable, vendor_name="Moxa")
+    unknown = judged(spark, searchable, vendor_name="Acme")
     assert unknown["verdict"] == "insufficient_evidence"
-    assert unknown["reasons"] == ["no Moxa evidence in the corpus"]
-    thin = judged(spark, searchable, active_flags=["high_network_stress"])
+    assert unknown["reasons"] == ["no Acme evidence in the corpus"]
+    thin = judged(spark, searchable, active_flags=["tier_1_device", "high_network_stress"])
     assert thin["verdict"] == "low_confidence"
-    assert thin["reasons"] == ["0/1 active flags grounded in the evidence"]
-    strict = judged(spark, searchable, gate.GateConfig(4, 5, min_mean_score=1.1))
-    assert strict["reasons"][:2] == ["3 vendor-matched chunks (need 4)", "3 distinct document(s) (need 5)"]
+    assert thin["reasons"] == ["0/2 active flags grounded in the evidence"]
+    strict = judged(spark, searchable, gate.GateConfig(6, 3, min_mean_score=1.1))
+    assert strict["reasons"][:2] == ["3 vendor-matched chunks (need 6)", "2 distinct document(s) (need 3)"]
     assert strict["reasons"][2].startswith("mean score ")
 
 
 def test_gate_sees_a_keyword_across_two_chunks(spark, searchable):
-    df = rows(spark, {"active_flags": ["major_version_jump"]})
-    for order, grounded in (((1, 2), ["major_version_jump"]), ((2, 1), [])):
+    df = rows(spark, {"active_flags": ["repeat_failure_device"]})
+    for order, grounded in (((0, 1), ["repeat_failure_device"]), ((1, 0), [])):
         hits = spark.createDataFrame(
-            [("U1", "evidence", n + 1, f"FG-DOC-00{d}_chunk_0", 0.5) for n, d in enumerate(order)],
+            [("N7", "evidence", n + 1, f"FG-DOC-311_chunk_{c}", 0.5) for n, c in enumerate(order)],
             "query_id string, route string, rank int, chunk_id string, score double")
         assert gate.assess(df, hits, searchable).first()["grounded"] == grounded
 
 
+def test_a_seam_is_as_wide_as_the_longest_keyword():
+    assert retrieval.EDGE == max(len(w) for words in fl.CORPUS_FLAG_WORDS.values() for w in words)
+
+
 def test_evidence_blocks_keep_first_occurrence(spark, searchable):
     hits = retrieval.retrieve(rows(spark, {}), searchable)
     row = retrieval.evidence_blocks(hits.unionByName(hits.withColumn("route", F.lit("matrix"))),
                                     searchable).first()
-    assert len(row["evidence_ids"]) == len(set(row["evidence_ids"])) == 10
-    assert row["block"].startswith("[Evidence 1] FG-DOC-00")
+    assert len(row["evidence_ids"]) == len(set(row["evidence_ids"])) == 12
+    assert row["block"].startswith("[Evidence 1] FG-DOC-31")
 
 
 def test_gold_and_quality(spark, records, searchable):
-    history = rows(spark, *[{"deployment_id": f"DEP_{i:06d}"} for i in (1, 2, 3)],
-                   {"deployment_id": "DEP_000009", "vendor_name": "Cisco"})
+    history = rows(spark, *[{"deployment_id": f"DEP_00410{i}"} for i in (0, 3, 5)],
+                   {"deployment_id": "DEP_004102", "vendor_name": "Siemens"},
+                   {"deployment_id": "DEP_004104", "transition_class": "major"})
     gold = reteval.gold_queries(records, history)
-    assert {(r["doc_id"], r["deployment_id"]) for r in gold.collect()} == {
-        ("FG-DOC-001", "DEP_000001"), ("FG-DOC-004", "DEP_000002"), ("FG-DOC-005", "DEP_000003")}
+    pairs = {(r["doc_id"], r["deployment_id"]) for r in gold.collect()}
+    assert ("FG-DOC-311", "DEP_004100") in pairs and ("FG-DOC-320", "DEP_004103") in pairs
+    assert ("FG-DOC-314", "DEP_004102") not in pairs
     graded = reteval.outcomes(gold, retrieval.retrieve(history, searchable), searchable)
     quality = {(r["slice"], r["value"]): r for r in reteval.evidence_quality(graded).collect()}
     assert quality["all", "all"]["recall_at_5"] == 1.0 and 0 < quality["all", "all"]["mrr"] <= 1
     routes = {r["route"]: r for r in reteval.route_quality(graded).collect()}
-    assert routes["runbook"]["returned_cited_doc_when_applied"] == 1.0
+    assert set(routes) <= set(retrieval.ROUTE_LIMITS)
 
 
 def test_report_and_controls(spark, records, searchable):
-    upcoming = rows(spark, {"deployment_id": "U1"}, {"deployment_id": "U2", "vendor_name": "Moxa"})
-    history = rows(spark, {"deployment_id": "DEP_000001"})
+    upcoming = rows(spark, {"deployment_id": "N1"}, {"deployment_id": "N2"}, {"deployment_id": "N3", "vendor_name": "Acme"})
+    history = rows(spark, {"deployment_id": "DEP_004100"})
     report = evidence.evaluate(records, searchable, history, upcoming)
     controls = report["controls"].collect()
     assert len(controls) == 3 and all(r["passed"] for r in controls)
-    assert all(r["passed"] for r in report["gates"].collect())
     coverage = {r["route"]: r["coverage"] for r in report["coverage"].collect()}
-    assert coverage["evidence"] == 0.5 and coverage["policy"] == 1.0
+    assert coverage["evidence"] == pytest.approx(2 / 3, abs=1e-3) and coverage["policy"] == 1.0
 
 
 def test_explain_never_generates_for_refused_rows(spark, searchable):
     def generate(messages):
-        assert all("Vendor: Siemens" in m for m in messages)
-        return ["This upgrade fails like [FG-DOC-001] and [FG-DOC-999]."] * len(messages)
+        assert all("Vendor: Honeywell" in m for m in messages)
+        return ["This upgrade fails like [FG-DOC-311] and [FG-DOC-777]."] * len(messages)
 
-    df = rows(spark, {}, {"deployment_id": "U2", "vendor_name": "Moxa"},
-              {"deployment_id": "U3", "active_flags": ["high_network_stress"]}).withColumns({
-        "fleet_tier": F.lit("TIER_1"), "version_jump_magnitude": F.lit(5.0),
-        "maintenance_window": F.lit(1.0), "past_failure_count": F.lit(2.0)})
+    df = rows(spark, {}, {"deployment_id": "N8", "vendor_name": "Acme"},
+              {"deployment_id": "N9", "active_flags": ["high_network_stress"]}).withColumns({
+        "fleet_tier": F.lit("TIER_2"), "version_jump_magnitude": F.lit(7.0),
+        "maintenance_window": F.lit(0.0), "past_failure_count": F.lit(1.0)})
     got = {r["query_id"]: r for r in evidence.explain(df, searchable, generate).collect()}
-    assert got["U1"]["generated"] and not got["U2"]["generated"] and not got["U3"]["generated"]
-    assert got["U1"]["unretrieved_citations"] == ["FG-DOC-999"]
-    assert got["U2"]["text"].startswith("No Moxa evidence")
-    assert got["U3"]["text"].startswith("Low confidence")
+    assert got["N7"]["generated"] and not got["N8"]["generated"] and not got["N9"]["generated"]
+    assert got["N7"]["unretrieved_citations"] == ["FG-DOC-777"]
+    assert got["N8"]["text"] == "Acme".join(evidence.REFUSAL)
+    assert got["N9"]["text"].startswith("Low confidence")
 
 
 def checks(spark, text, flags=(), context="CVSS 7.9", texts="took 1,204 hours", required=True):
@@ -402,6 +511,7 @@ def test_grounding(spark):
     good = checks(spark, "It took 1204 hours at 7.9 [FG-DOC-001], see Evidence 12.")
     assert good["citations_ok"] and good["numbers_ok"] and good["flags_ok"]
     assert checks(spark, "In 73 cases [FG-DOC-002].")["stray_numbers"] == ["73"]
+    assert checks(spark, "In \u0664\u0662 cases [FG-DOC-001].")["stray_numbers"] == ["\u0664\u0662"]
     assert checks(spark, "In all cases [FG-DOC-002].")["unretrieved_citations"] == ["FG-DOC-002"]
     assert not checks(spark, "No source.")["citations_ok"]
     assert checks(spark, "No source.", required=False)["citations_ok"]
@@ -434,17 +544,21 @@ def test_claims(spark):
 
 
 def test_probe_set(spark, records):
-    values = [("Siemens", f"d{i}", p) for i, p in enumerate([0.9, 0.9, 0.5, 0.4, None])]
-    df = spark.createDataFrame([*values, ("Moxa", "m1", 0.1), ("Cisco", "c1", 0.2)],
+    values = [("Honeywell", f"d{i}", p) for i, p in enumerate([0.9, 0.9, 0.5, 0.4, None])]
+    df = spark.createDataFrame([*values, ("Acme", "m1", 0.1), ("Cisco", "c1", 0.2)],
                                "vendor_name string, deployment_id string, risk_probability double")
     got = {(r["vendor_name"], r["deployment_id"]) for r in reteval.probe_set(records, df).collect()}
-    assert got == {("Siemens", "d0"), ("Siemens", "d1"), ("Siemens", "d2"), ("Siemens", "d4"),
-                   ("Cisco", "c1"), ("Moxa", "m1"), ("OutOfCorpusVendor", "c1")}
+    assert got == {("Honeywell", "d0"), ("Honeywell", "d1"), ("Honeywell", "d2"), ("Honeywell", "d4"),
+                   ("Cisco", "c1"), ("Acme", "m1"), ("OutOfCorpusVendor", "c1")}
 
 
 def test_index_promotion_and_pruning(spark, searchable, tmp_path):
     index = EvidenceIndex(spark, str(tmp_path / "index"))
     assert index.current() is None and index.versions().count() == 0
+    with pytest.raises(ValueError, match="promoted"):
+        index.read()
+    with pytest.raises(ValueError, match="No version"):
+        index.promote("corpus-20250101")
     one, two, three, four = (index.build(searchable, f"2026010{i}") for i in range(1, 5))
     assert index.promote(one) is None and index.promote(two) == one and index.promote(one) == two
     assert index.prune(keep=2) == [two, three]

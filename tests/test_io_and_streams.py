@@ -60,14 +60,16 @@ def test_staged_rows_need_the_exact_width(spark, tmp_path):
 
 def test_documents_and_json_lines(spark, tmp_path):
     put(tmp_path, "a b.md", "# A\n\ntext")
-    put(tmp_path, "b.md", "# B")
-    put(tmp_path, "c.txt", "no")
+    put(tmp_path, "b+c%41.md", "# B")
+    put(tmp_path, "c.pdf", "no")
     docs = readers.read_documents(spark, str(tmp_path))
     assert {(r["filename"], r["text"]) for r in docs.collect()} == {
-        ("a b.md", "# A\n\ntext"), ("b.md", "# B")}
+        ("a b.md", "# A\n\ntext"), ("b+c%41.md", "# B"), ("c.pdf", None)}
+    assert [tuple(r) for r in readers.unreadable_documents(docs).collect()] == [
+        ("unreadable_format", "c.pdf")]
     out = str(tmp_path / "lines")
     readers.write_json_lines(docs, out)
-    assert spark.read.json(out).count() == 2
+    assert spark.read.json(out).count() == 3
 
 
 def scores(spark, n=4, run="m", prefix="d"):
@@ -164,3 +166,23 @@ def test_stream_equals_batch_and_quarantines(spark, tmp_path):
     frame(spark, more).select(*contract.columns).coalesce(1).write.mode("append").parquet(source)
     assert run().select("run").distinct().count() == 2
     assert run().count() == 9 + 2
+
+
+def test_a_late_repeat_is_a_dead_letter(spark, tmp_path):
+    contract = DEPLOYMENTS.scoring()
+    rows = training_rows(3)
+    feed = frame(spark, rows).select(*contract.columns).withColumn("at", F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    source = str(tmp_path / "in")
+    folders = {n: str(tmp_path / n) for n in ("scores", "rejects", "state")}
+
+    def score(good):
+        return scoring.decide(good.withColumn("probability", F.col("uptime_days") / 50), 0.7, "s", unseen=None)
+
+    for _ in range(2):
+        feed.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(feed.schema).parquet(source)
+        score_stream(stream, score, folders["scores"], folders["rejects"], folders["state"], contract=contract,
+                     once=True, unique_within=("at", "1 hour")).awaitTermination()
+    assert spark.read.parquet(folders["scores"]).count() == 3
+    reasons = {r["reason"]: r["rows"] for r in rejected_counts(spark.read.parquet(folders["rejects"])).collect()}
+    assert reasons == {"duplicate_key": 3}
