@@ -186,6 +186,14 @@ def flags_corpus(spark, sf):
         jump_band(F.col("version_jump_magnitude")).alias("transition_class"))
 
 
+@query("deployment_flags", f"""
+WITH {_CORPUS_FLAG_SQL} SELECT deployment_id, flags, transition_class FROM flagged""")
+def deployment_flags(spark, sf):
+    """Of rows that pass the contract, checked first."""
+    return ft.deployment_flags(deployments(spark, sf), C.scoring()).select(
+        "deployment_id", F.array_join("active_flags", ",").alias("flags"), "transition_class")
+
+
 @query("flag_rates_by_vendor", f"""
 {_PAGE_SQL}
 SELECT vendor_name, flag, count(*) AS rows FROM (

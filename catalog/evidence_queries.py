@@ -33,6 +33,22 @@ def cosine_topk(spark, sf):
     return filtered_topk(queries, vectors).select("query_id", "item_id", "score", "rank")
 
 
+@query("cosine_topk_hot_slot", """
+WITH v AS (SELECT vec_id::VARCHAR AS id, embedding::DOUBLE[] AS e FROM embeddings),
+p AS (SELECT q.id AS query_id, i.id AS item_id, round(list_dot_product(q.e, i.e), 6) AS score
+  FROM v q JOIN v i ON true),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM p)
+SELECT query_id, item_id, score, rank FROM r WHERE rank <= 3""")
+def cosine_topk_hot_slot(spark, sf):
+    """Every vector against all others, one slot cut into many blocks on both sides."""
+    vectors = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("item_id"), F.lit("all").alias("slot"),
+        F.col("embedding").alias("vector"))
+    queries = vectors.withColumnRenamed("item_id", "query_id").withColumn("k", F.lit(3))
+    return filtered_topk(queries, vectors, items_per_block=100, queries_per_block=150).select(
+        "query_id", "item_id", "score", "rank")
+
+
 def upcoming(spark, sf):
     """Flagged deployments, a few of them from a vendor the corpus does not know."""
     key = F.substring("deployment_id", 5, 20).cast("bigint")
@@ -380,8 +396,8 @@ def evidence_index(spark, sf):
 @query("explain_deployments", f"""
 WITH {_VERDICTS}
 SELECT query_id, verdict, CASE verdict WHEN 'insufficient_evidence' THEN 'No ' || vendor_name
-    || ' evidence exists in the corpus; other vendors'' documents do not apply. Refer this '
-    || 'deployment to an engineer who knows the vendor.'
+    || ' evidence exists in the corpus. Documents about other vendors do not apply, and similarity '
+    || 'is not relevance. Refer this deployment to an engineer familiar with the vendor.'
   WHEN 'low_confidence' THEN 'Low confidence, not explained: ' || reasons END AS text,
   (SELECT count(DISTINCT chunk_id) FROM hits h WHERE h.query_id = v.query_id) AS evidence
 FROM verdicts v JOIN asked USING (query_id)""")

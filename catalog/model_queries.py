@@ -10,6 +10,7 @@ from catalog.tables import deployments, raw_feed, scored, table
 from shiplens.operators import features as ft
 from shiplens.operators import fleet, metrics, prep, profile, runs, scoring, splits
 from shiplens.operators.contract import DEPLOYMENTS as C
+from shiplens.operators.prefix import exact_quantiles
 from shiplens.sources.scratch import materialise
 
 DAY = "yyyy-MM-dd"
@@ -250,6 +251,18 @@ def medians(spark, sf):
     return prep.medians(_train_side(_featured(spark, sf)))
 
 
+@query("medians_in_ranges", f"""
+WITH {_TRAIN}
+{' UNION ALL '.join(
+    f"SELECT '{c}' AS " + '"column"' + f", quantile_cont({c}, 0.5) AS median FROM train"
+    for c in S.NUMERIC + S.DERIVED)}""")
+def medians_in_ranges(spark, sf):
+    """The same with the distinct values cut into many ranges, as a large table has them."""
+    return exact_quantiles(
+        _train_side(_featured(spark, sf)), list(prep.NUMERIC), [0.5], rows_per_range=500,
+    ).select("column", F.col("quantile").alias("median"))
+
+
 @query("vocabulary", f"""
 WITH {_TRAIN}
 {' UNION ALL '.join(
@@ -592,6 +605,21 @@ def newest_real_run(spark, sf):
     return fleet.newest_real_run(smoked).select("deployment_id", "scored_at", "risk_band")
 
 
+@query("upcoming_scores", f"""
+WITH {_DECIDED}, {_SMOKE}, newest AS (
+  SELECT id, scored_at, risk_probability, risk_prediction, risk_band FROM smoked
+  WHERE scored_at = (SELECT max(scored_at) FROM real))
+SELECT s.deployment_id, n.risk_probability, n.risk_prediction, n.risk_band, n.scored_at
+FROM scores s LEFT JOIN newest n ON n.id = s.deployment_id""")
+def upcoming_scores(spark, sf):
+    smoked = _scored_history(spark, sf).withColumn(
+        "deployment_id",
+        F.when(F.col("scored_at") >= "2001-07-01", F.concat(F.lit("smoke-"), "deployment_id"))
+        .otherwise(F.col("deployment_id")))
+    return fleet.upcoming_with_scores(deployments(spark, sf, ("deployment_id",)), smoked).select(
+        "deployment_id", "risk_probability", "risk_prediction", "risk_band", "scored_at")
+
+
 @query("run_list", f"WITH {_DECIDED} SELECT scored_at, count(*) AS rows FROM scores GROUP BY 1")
 def run_list(spark, sf):
     return fleet.run_list(_scored_history(spark, sf))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.flags import emergency_without_window, touched
-from shiplens.functions.versions import major, major_jump
-from shiplens.operators.contract import DEPLOYMENTS, ContractViolation, TableContract
+from shiplens.functions.flags import (
+    corpus_flag_conditions, emergency_without_window, raised, touched,
+)
+from shiplens.functions.versions import jump_band, major, major_jump
+from shiplens.operators.contract import DEPLOYMENTS, ContractViolation, TableContract, validate
 
 LABEL = "deployment_risk"
 DERIVED = (
@@ -38,6 +40,14 @@ def unparsed_rows(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> DataF
     return df.where(_unparsed(contract)).select(contract.key, *contract.versions)
 
 
+def deployment_flags(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> DataFrame:
+    """Validated rows with `active_flags` and `transition_class`, as retrieval takes them."""
+    return validate(df, contract).withColumns({
+        "active_flags": raised(corpus_flag_conditions()),
+        "transition_class": jump_band(F.col("version_jump_magnitude")),
+    })
+
+
 def require_parseable(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> None:
     row = parse_failures(df, contract).first()
     if row["rows"] and row["failures"] / row["rows"] > MAX_PARSE_FAILURE_RATE:

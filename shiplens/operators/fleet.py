@@ -71,6 +71,15 @@ def newest_real_run(
     return scores.where(F.col(run) == pick.scalar())
 
 
+def upcoming_with_scores(
+    upcoming: DataFrame, scores: DataFrame, key: str = "deployment_id"
+) -> DataFrame:
+    """Upcoming rows with their scores of the newest real run, where it has them."""
+    newest = newest_real_run(scores)
+    kept = [c for c in newest.columns if c == key or c not in upcoming.columns]
+    return upcoming.join(newest.select(kept), key, "left")
+
+
 def run_list(scores: DataFrame, run: str = "scored_at") -> DataFrame:
     """Runs with their size, for a reader to order: the run stamp sorts by time."""
     return scores.groupBy(run).agg(F.count("*").alias("rows"))

@@ -91,8 +91,9 @@ def _blocked(
 
     left = placed(queries.select("query_id", "slot", "k", "vector"), "query_id",
                   "query_blocks", "item_blocks")
-    right = placed(items.select("slot", "item_id", "vector"), "item_id",
-                   "item_blocks", "query_blocks")
+    # named anew, as both sides may come from one table
+    renamed = items.select(*[F.col(c).alias(c) for c in ("slot", "item_id", "vector")])
+    right = placed(renamed, "item_id", "item_blocks", "query_blocks")
     keys = ["slot", "item_block", "query_block"]
     none = pd.DataFrame({"query_id": pd.Series(dtype=str), "slot": pd.Series(dtype=str),
                          "item_id": pd.Series(dtype=str), "score": pd.Series(dtype=float),
