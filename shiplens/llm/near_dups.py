@@ -6,7 +6,7 @@ place of SIDE * SIDE * 2 * ROWS. Documents that share a key are candidates, and
 confirmed on the full sets of shingles.
 
 Documents alike in their sets are one class and enter once. A table key's members first meet two
-of their number, the smallest and the one with most copies; links confirmed so far join them into
+of their number, the smallest and the smallest that has copies (or the largest); links confirmed so far join them into
 components. What a key still leaves apart, the members outside its largest component, then meets
 that component and one another in blocks. So every two members of a key are compared or already
 joined, no key's pairs are listed, and a key of any size is spread over tasks.
@@ -86,11 +86,13 @@ def _members(classes: DataFrame) -> DataFrame:
     tables = F.flatten(F.transform("left", lambda x, i: F.transform(
         "right", lambda y, j: F.xxhash64(x, y, i, j)
     )))
-    keys = classes.select("doc", "copies", F.explode(tables).alias("key"))
+    # a class becomes many rows, so the few files that hold them are dealt out first
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = classes.repartition(n, "doc").select("doc", "copies", F.explode(tables).alias("key"))
+    copied = F.min(F.when(F.col("copies") > 1, F.col("doc")))
     wide = keys.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("doc").alias("low"),
-        F.max(F.struct("copies", (-F.col("doc")).alias("least"))).alias("most"),
-    ).where("size > 1").select("key", "size", "low", (-F.col("most.least")).alias("top"))
+        F.count("*").alias("size"), F.min("doc").alias("low"), F.coalesce(copied, F.max("doc")).alias("top"),
+    ).where("size > 1")
     return keys.select("key", "doc").join(wide, "key")
 
 
