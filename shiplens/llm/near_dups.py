@@ -38,7 +38,7 @@ WORDS, SHARE = 5, 75
 #: MinHash groups of each collection, and hashes of a group.
 SIDE, ROWS = 12, 2
 #: Documents of one run of comparisons with a hub, and of the two sides of a block.
-SPAN, LEFT, RIGHT = 128, 64, 256
+SPAN, LEFT, RIGHT = 128, 256, 1024
 _RANDOM = np.random.default_rng(1907)
 _TIMES = _RANDOM.integers(1, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLUS = _RANDOM.integers(1, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64)
