@@ -8,7 +8,7 @@ from catalog import corpus_sql as Q
 from catalog import corpus_tables as ct
 from catalog import table_sql as S
 from catalog.contract_queries import _CORPUS_FLAG_SQL, QUERY_TEXT_SQL
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from catalog.tables import deployments, risk_score_expression, table
 from shiplens.functions import flags as fl
 from shiplens.operators import gate, reteval, retrieval, scoring
@@ -332,7 +332,14 @@ def negative_controls(spark, sf):
         "reasons", F.array_join("reasons", "; "))
 
 
-@query("quality_gates")
+@query("quality_gates", f"""
+SELECT gate, observed, required, observed >= required AS passed FROM (
+  SELECT CASE slice WHEN 'all' THEN 'evidence_recall_at_5' ELSE 'evidence_recall_at_5[' || value || ']' END AS gate,
+    coalesce(recall_at_5, 0)::DOUBLE AS observed,
+    CASE slice WHEN 'all' THEN {reteval.MIN_RECALL} ELSE {reteval.MIN_TYPE_RECALL} END::DOUBLE AS required
+  FROM ({ORACLES["recall_mrr"]}) WHERE slice IN ('all', 'document_type')
+  UNION ALL SELECT 'negative_controls', coalesce(avg(passed::INT), 1)::DOUBLE, 1.0::DOUBLE
+  FROM ({ORACLES["negative_controls"]}))""")
 def quality_gates(spark, sf):
     corpus, graded = _graded(spark, sf)
     return reteval.quality_gates(reteval.evidence_quality(graded), _controls(spark, sf, corpus))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import table_sql as S
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from catalog.tables import deployments, raw_feed, scored, table
 from shiplens.operators import features as ft
-from shiplens.operators import fleet, metrics, prep, profile, runs, scoring, splits
+from shiplens.operators import fleet, metrics, models, prep, profile, runs, scoring, splits
 from shiplens.operators.contract import DEPLOYMENTS as C
 from shiplens.operators.prefix import exact_quantiles
 from shiplens.sources.scratch import materialise
@@ -486,6 +486,42 @@ def fold_metrics(spark, sf):
                     *RATE_COLUMNS, "roc_auc", "average_precision")
 
 
+_TRIED = ORACLES["fold_metrics"]
+
+
+@query("selected_trials", f"""
+WITH t AS (SELECT 'trial-' || fold AS trial, CASE WHEN fold % 2 = 1 THEN 'logistic' ELSE 'boosted' END AS family,
+  fold, expected_cost, roc_auc FROM ({_TRIED})),
+r AS (SELECT *, row_number() OVER (PARTITION BY family ORDER BY expected_cost, coalesce(roc_auc, 0) DESC, fold) AS own,
+  row_number() OVER (ORDER BY expected_cost, coalesce(roc_auc, 0) DESC, family = 'boosted', fold) AS place FROM t)
+SELECT family, trial, expected_cost, place = 1 AS preferred FROM r WHERE own = 1""")
+def selected_trials(spark, sf):
+    """The best trial of each family and the best of all, every fold standing for a trial."""
+    trials = materialise(fold_metrics(spark, sf).select(
+        F.concat(F.lit("trial-"), "fold").alias("trial"),
+        F.when(F.col("fold") % 2 == 1, "logistic").otherwise("boosted").alias("family"),
+        F.format_string('{"fold": %03d}', "fold").alias("params"), "expected_cost", "roc_auc"))
+    first = models.preferred(trials).select("trial", F.lit(True).alias("preferred"))
+    return models.family_best(trials).join(first, "trial", "left").select(
+        "family", "trial", "expected_cost", F.coalesce("preferred", F.lit(False)).alias("preferred"))
+
+
+@query("isotonic_calibration", f"""
+WITH {S.SCORED},
+d AS (SELECT probability, sum(label)::DOUBLE AS s, count(*)::DOUBLE AS w, row_number() OVER (ORDER BY probability) AS i
+  FROM scored GROUP BY 1),
+c AS (SELECT *, sum(s) OVER (ORDER BY i) AS upto_s, sum(w) OVER (ORDER BY i) AS upto_w FROM d),
+spans AS (SELECT j.i AS j, k.i AS k, min((k.upto_s - j.upto_s + j.s) / (k.upto_w - j.upto_w + j.w))
+    OVER (PARTITION BY j.i ORDER BY k.i DESC) AS low FROM c j JOIN c k ON k.i >= j.i)
+SELECT probability, round(max(low), 9) AS calibrated FROM spans JOIN c ON c.i = spans.k GROUP BY 1""")
+def isotonic_calibration(spark, sf):
+    """Every score with its calibrated value; the restatement is the min-max formula."""
+    rows = scored(spark, sf).select("probability", F.col("label").cast("double"))
+    fitted = models.fit_calibrator(rows, "probability")
+    return fitted.transform(rows.select("probability").distinct()).select(
+        "probability", F.round("prediction", 9).alias("calibrated"))
+
+
 @query("class_report", f"""
 WITH {S.SCORED}, c AS ({_confusion_sql('', '0.3::DOUBLE')}),
 k AS (SELECT 'success' AS class, tn / (tn + fn)::DOUBLE AS precision, tn / (tn + fp)::DOUBLE AS recall,

@@ -31,6 +31,7 @@ SECTION = "## "
 NOTE_TOKENS = (300, 700)
 STEPS_PER_CHUNK = 4
 MAX_DEVIATION = 0.5
+BLOCK = 128
 WHOLE_BY_DESIGN = ("Matrix", "META")
 HEADED = ("Postmortem", "Transition", "CrossVendor")
 
@@ -54,12 +55,28 @@ def _spans(items: Column, starts: Column) -> Column:
 
 
 def _states(items: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
-    """State after each item, one entry per item."""
-    run = F.aggregate(
-        items, F.array(zero),
-        lambda done, x: F.concat(done, F.array(step(F.element_at(done, -1), x))),
-    )
-    return F.slice(run, F.lit(2), F.size(items))
+    """State after each item, one entry per item.
+
+    A growing array is copied at every step, so items are taken in blocks: what is copied is a
+    block's states and the list of blocks, and the time grows with the items, not their square.
+    """
+    def along(block: Column, before: Column) -> Column:
+        run = F.aggregate(
+            block, F.array(before),
+            lambda done, x: F.concat(done, F.array(step(F.element_at(done, -1), x))),
+        )
+        return F.slice(run, F.lit(2), F.size(block))
+
+    def blocks(held: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(held) - 1, F.lit(0)), F.lit(BLOCK))
+        made = F.aggregate(
+            starts, F.array(F.array(zero)),
+            lambda done, at: F.concat(done, F.array(along(
+                F.slice(held, at + 1, F.lit(BLOCK)), F.element_at(F.element_at(done, -1), -1)))),
+        )
+        return F.flatten(F.slice(made, F.lit(2), F.size(starts)))
+
+    return _let(items, blocks)
 
 
 def _joined(lines: Column) -> Column:
@@ -175,9 +192,12 @@ def risk_note(lines: Column) -> Column:
 
             return F.transform(_states(sizes, zero, step), lambda s: s["group"])
 
-        return _let(sizes, lambda z: _let(total, lambda t: _let(assign(z, t), lambda group:
-            F.transform(F.array_distinct(group), lambda g: _chunk("prose", F.array_join(
-                F.filter(paragraphs, lambda p, i: F.get(group, i) == g), "\n\n"))))))
+        def spans(group: Column) -> Column:
+            first = _where(group, lambda g, i: (i == 0) | (g != F.get(group, i - 1)))
+            return F.transform(_let(first, lambda f: _spans(paragraphs, f)), lambda span: _chunk(
+                "prose", F.array_join(span, "\n\n")))
+
+        return _let(sizes, lambda z: _let(total, lambda t: _let(assign(z, t), spans)))
 
     starts = _where(lines, lambda x, i: ~is_blank(x) & (
         (i == 0) | is_blank(F.get(lines, i - 1))))
@@ -237,11 +257,12 @@ def runbook(lines: Column) -> Column:
         return F.transform(_states(items, zero, step), lambda s: s["run"])
 
     def assemble(items: Column, runs: Column) -> Column:
-        total = F.element_at(runs, -1)
+        """Items in order, run 0 being what stands above the first step."""
+        none = F.lit(0).cast("bigint")
+        starts = _where(runs, lambda r, i: r != F.coalesce(F.get(runs, i - 1), none))
 
-        def texts(run: Column, steps: bool) -> Column:
-            picked = F.filter(items, lambda x, i: (F.get(runs, i) == run) & (
-                x["no"].isNotNull() if steps else x["no"].isNull()))
+        def texts(span: Column, steps: bool) -> Column:
+            picked = F.filter(span, lambda x: x["no"].isNotNull() if steps else x["no"].isNull())
             return F.transform(picked, lambda x: x["text"])
 
         def prose(block: Column, last: Column) -> Column:
@@ -261,18 +282,21 @@ def runbook(lines: Column) -> Column:
                     steps, g * base + F.least(g, extra) + 1,
                     base + F.when(g < extra, 1).otherwise(0))))))
 
-        def one(run: Column) -> Column:
-            above = texts(run - 1, False)
-            heading = _let(above, lambda b: F.coalesce(
-                F.get(b, F.size(b) - 1), F.lit("")))
-            steps = _let(heading, lambda h: _let(
-                texts(run, True), lambda s: step_chunks(h, s)))
-            return F.concat(steps, _let(texts(run, False), lambda b: prose(b, run == total)))
-
-        opening = _let(texts(F.lit(0).cast("bigint"), False),
-                       lambda b: prose(b, F.lit(False)))
-        return F.concat(opening, F.flatten(F.transform(
-            F.sequence(F.lit(1).cast("bigint"), total), one)))
+        def chunks(opening: Column, found: Column) -> Column:
+            def one(span: Column, j: Column) -> Column:
+                above = F.when(j == 0, opening).otherwise(texts(F.get(found, j - 1), False))
+                heading = _let(above, lambda b: F.coalesce(
+                    F.get(b, F.size(b) - 1), F.lit("")))
+                steps = _let(heading, lambda h: _let(
+                    texts(span, True), lambda s: step_chunks(h, s)))
+                return F.concat(steps, _let(texts(span, False), lambda b: prose(
+                    b, j == F.size(found) - 1)))
+
+            return F.concat(prose(opening, F.lit(False)), F.flatten(F.transform(found, one)))
+
+        return _let(starts, lambda first: _let(
+            texts(F.slice(items, F.lit(1), F.get(first, F.lit(0))), False),
+            lambda opening: _let(_spans(items, first), lambda found: chunks(opening, found))))
 
     filled = F.filter(lines, lambda x: ~is_blank(x))
     return F.when(

@@ -108,11 +108,20 @@ def record_problems(
 ) -> DataFrame:
     """(filename, rule, detail) for every rule a reviewed record or its document breaks.
 
-    Records meet their documents in one join on the file name; everything after it is a
-    projection.
+    What a rule needs of a text is worked out beside the text, so that records meet narrow rows in
+    one join on the file name; everything after it is a projection.
     """
     c = contract
-    derived = manifest(documents, c)
+    text = F.col("text")
+    derived = manifest(documents, c).withColumns({
+        "body_id": F.regexp_extract(text, c.doc_id, 0),
+        "body_vendor": named_field(text, "Vendor", c.vendors),
+        "body_family": named_field(text, "Device Family", c.families),
+        "category": named_field(text, "Transition Category", ("Major", "Extreme")),
+        "pair": F.array(named_field(text, "Primary Vendor", c.vendors),
+                        named_field(text, "Dependent Vendor", c.vendors)),
+        "upcoming": references(text, c.upcoming_ref),
+    }).drop("text")
     both = reviewed.select(
         "filename", *[F.col(f).alias(f"r_{f}") for f in MANIFEST_FIELDS if f != "filename"]
     ).join(derived, "filename")
@@ -123,15 +132,9 @@ def record_problems(
     def outside(value: Column, allowed) -> Column:
         return ~F.coalesce(value.isin(list(allowed)), F.lit(False))
 
-    text, kind = F.col("text"), record("document_type")
-    vendors = record("vendors")
-    body_vendor = named_field(text, "Vendor", c.vendors)
-    body_family = named_field(text, "Device Family", c.families)
-    category = named_field(text, "Transition Category", ("Major", "Extreme"))
-    pair = F.array(named_field(text, "Primary Vendor", c.vendors),
-                   named_field(text, "Dependent Vendor", c.vendors))
-    body_id = F.regexp_extract(text, c.doc_id, 0)
-    upcoming = references(text, c.upcoming_ref)
+    kind, vendors = record("document_type"), record("vendors")
+    body_id, body_vendor, body_family = F.col("body_id"), F.col("body_vendor"), F.col("body_family")
+    category, pair, upcoming = F.col("category"), F.col("pair"), F.col("upcoming")
     rules = {
         "unknown_document_type": (outside(kind, c.type_names), kind),
         "bad_doc_id": (~F.coalesce(record("doc_id").rlike(f"^({c.doc_id})$"), F.lit(False)),
