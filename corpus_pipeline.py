@@ -22,10 +22,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, and one row of repeated ones; rows without id stay."""
-    kept = near_dups.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
-    return rows.union(docs.where("doc_id IS NULL"))
+    """One document of each group stays. Its rows are one where id and text are repeated; rows of
+    one id with different texts stay, as do rows without id."""
+    kept = materialise(near_dups.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("rows")), "kept")
+    once = docs.join(kept.where("rows = 1"), "doc_id", "left_semi").select(docs.columns)
+    more = docs.join(kept.where("rows > 1"), "doc_id", "left_semi").select(docs.columns)
+    return once.union(more.dropDuplicates(["doc_id", "text"])).union(docs.where("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
