@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Every run of SEED words of a test item is a seed. Documents' runs are looked up among the seeds,
-and stretches of a document around the hits of one item become candidate passages. Seeds are
-counted over all documents; an item's rarer half are its rare seeds, and only passages that hold
-one are aligned. A passage matches when the best local alignment of its words with the item's
-(equal words MATCH, else MISMATCH, gaps GAP) reaches SHARE of the score of the whole item.
+and stretches of a document around the hits of one item become candidate passages. A passage
+matches when the best local alignment of its words with the item's (equal words MATCH, else
+MISMATCH, gaps GAP) reaches SHARE of the score of the whole item. Passages that have too few of the
+item's words for that, whatever their order, are not aligned; all others are.
 
 Test items are small beside the corpus, but not taken to be: they are worked off in slices of at
 most SLICE bytes, each of which travels to the tasks.
@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.llm.rows import batch_of, ranges, slices, text_bytes
-from shiplens.llm.words import grams, words
-from shiplens.sources.scratch import materialise
+from shiplens.llm.words import grams, mix, words
 
 #: Words of a seed, and the share of an item's full score that makes a match.
 SEED, SHARE = 3, 0.5
@@ -36,6 +35,11 @@ SLICE = 4 << 20
 CELLS = 1 << 20
 
 
+def _keyed(item: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """One number for an item and a word."""
+    return mix(hashes + mix(item.astype(np.uint64) + np.uint64(1)))
+
+
 class Items:
     """Word lists of test items and the places of their seeds, sorted by seed."""
 
@@ -54,6 +58,8 @@ class Items:
         # a table of low bits tells most runs apart from seeds without a search
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[self.seeds & np.uint64((1 << 22) - 1)] = True
+        # each item's words and how often it has them
+        self.keys, self.often = np.unique(_keyed(np.repeat(np.arange(len(ids)), counts), hashes), return_counts=True)
 
     def hits(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of runs that are seeds, and for each the place among the sorted seeds; a seed of
@@ -87,109 +93,109 @@ def align(item: np.ndarray, passages: list[np.ndarray]) -> tuple[np.ndarray, np.
     return best, end
 
 
-def _passages(docs: DataFrame, items: Items) -> DataFrame:
-    """(doc, item, first, seeds, words): stretches around hits, as hashes of seeds and words."""
+def _common(items: Items, item: np.ndarray, sizes: np.ndarray, flat: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The most words each passage can match with its item: those they have in common, as often as
+    both have them, and no more than stand within `span` words of the passage."""
+    passage = np.repeat(np.arange(len(item)), sizes)
+    keys = _keyed(item[passage], flat)
+    place = np.minimum(np.searchsorted(items.keys, keys), len(items.keys) - 1)
+    there = items.keys[place] == keys
+    pairs, n = np.unique(passage[there] * len(items.keys) + place[there], return_counts=True)
+    both = np.bincount(
+        pairs // len(items.keys), weights=np.minimum(n, items.often[pairs % len(items.keys)]), minlength=len(item)
+    )
+    total = np.concatenate([[0], np.cumsum(there)])
+    ends = np.cumsum(sizes)
+    at = np.arange(len(flat))
+    near = total[np.minimum(at + span[passage], ends[passage])] - total[at]
+    return np.minimum(both, np.maximum.reduceat(near, ends - sizes))
+
+
+def _stretches(part: pa.RecordBatch, items: Items, lengths: np.ndarray):
+    """(doc, item, first, last) of stretches around hits, each document's place among the words, and
+    the words."""
+    hashes, _, _, counts = words(*text_bytes(part.column("text")))
+    runs, room = grams(hashes, counts, SEED)
+    at, seed = items.hits(runs)
+    run_ends = np.cumsum(room)
+    doc = np.searchsorted(run_ends, at, "right")
+    at = at - (run_ends - room)[doc]
+    long = counts[doc] >= SEED
+    at, seed, doc = at[long], seed[long], doc[long]
+    if not len(at):
+        return None
+    item = items.item[seed]
+    # where the item would begin and end, with room for words put in or left out
+    slack = lengths[item] // 2 + SEED
+    low = np.maximum(at - items.offset[seed] - slack, 0)
+    high = np.minimum(at - items.offset[seed] + lengths[item] + slack, counts[doc])
+    order = np.lexsort((low, item, doc))
+    doc, item, low, high = (x[order] for x in (doc, item, low, high))
+    fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
+    # stretches that overlap are one; none of another pair reaches into this one's numbers
+    pair = np.cumsum(fresh)
+    top = int(counts.max()) + 1
+    reach = np.maximum.accumulate(high + pair * top)
+    fresh[1:] |= low[1:] + pair[1:] * top > reach[:-1]
+    begin = np.flatnonzero(fresh)
+    stop = reach[np.append(begin[1:], len(low)) - 1] - pair[begin] * top
+    return doc[begin], item[begin], low[begin], stop, np.cumsum(counts) - counts, hashes
+
+
+def _aligned(docs: DataFrame, items: Items, share: float) -> DataFrame:
+    """The matches of every passage; nothing is shuffled."""
     lengths = np.array([len(w) for w in items.words], np.int64)
     schema = pa.schema([
-        ("doc", pa.int64()), ("item", pa.int32()), ("first", pa.int64()),
-        ("seeds", pa.list_(pa.int64())), ("words", pa.binary()),
+        ("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int64()), ("similarity", pa.float64()),
+        ("first_word", pa.int64()), ("end_word", pa.int64()),
     ])
 
+    def scored(held: dict[int, list[tuple[int, int, np.ndarray]]]):
+        found = []
+        for item, group in held.items():
+            target, at = items.words[item], 0
+            group.sort(key=lambda g: len(g[2]))
+            while at < len(group):
+                n = 1
+                while at + n < len(group) and (n + 1) * len(group[at + n][2]) <= CELLS:
+                    n += 1
+                scores, ends = align(target, [g[2] for g in group[at : at + n]])
+                full = MATCH * len(target)
+                for (doc, first, _), score, end in zip(group[at : at + n], scores.tolist(), ends.tolist()):
+                    if score >= share * full:
+                        found.append((doc, items.ids[item], score, score / full, first, first + end))
+                at += n
+        if found:
+            yield batch_of(schema, **dict(zip(schema.names, zip(*found))))
+
     def run(batches):
+        held: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        size = 0
         for part in slices(batches, "text"):
-            hashes, _, _, counts = words(*text_bytes(part.column("text")))
-            runs, room = grams(hashes, counts, SEED)
-            at, seed = items.hits(runs)
-            if not len(at):
-                continue
-            run_ends, ends = np.cumsum(room), np.cumsum(counts)
-            doc = np.searchsorted(run_ends, at, "right")
-            at = at - (run_ends - room)[doc]
-            long = counts[doc] >= SEED
-            at, seed, doc = at[long], seed[long], doc[long]
-            if not len(at):
+            if (got := _stretches(part, items, lengths)) is None:
                 continue
-            item = items.item[seed]
-            # where the item would begin and end, with room for words put in or left out
-            slack = lengths[item] // 2 + SEED
-            low = np.maximum(at - items.offset[seed] - slack, 0)
-            high = np.minimum(at - items.offset[seed] + lengths[item] + slack, counts[doc])
-            order = np.lexsort((low, item, doc))
-            doc, item, low, high, seed = (x[order] for x in (doc, item, low, high, seed))
-            fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
-            # stretches that overlap are one; none of another pair reaches into this one's numbers
-            pair = np.cumsum(fresh)
-            top = int(counts.max()) + 1
-            reach = np.maximum.accumulate(high + pair * top)
-            fresh[1:] |= low[1:] + pair[1:] * top > reach[:-1]
-            begin = np.flatnonzero(fresh)
-            stop = reach[np.append(begin[1:], len(low)) - 1] - pair[begin] * top
-            bounds = [*begin.tolist(), len(low)]
-            offset = (ends - counts)[doc[begin]]
+            doc, item, first, stop, offset, hashes = got
             ids = part.column("doc").to_numpy(zero_copy_only=False)
-            values = items.seeds[seed].view(np.int64)
-            yield batch_of(
-                schema, doc=ids[doc[begin]], item=item[begin], first=low[begin],
-                seeds=[np.unique(values[a:b]) for a, b in zip(bounds, bounds[1:])],
-                words=[hashes[o + a : o + b].tobytes() for o, a, b in zip(offset.tolist(), low[begin].tolist(), stop.tolist())],
-            )
-
-    return docs.mapInArrow(run, "doc long, item int, first long, seeds array<long>, words binary")
-
-
-def _rare(items: Items, passages: DataFrame) -> set[tuple[int, int]]:
-    """(item, seed) of each item's rarer half; one count per item and seed comes back."""
-    counted = passages.select("doc", "item", F.explode("seeds").alias("seed")).groupBy("item", "seed").agg(
-        F.count("*").alias("n")
-    ).collect()
-    n = {(r["item"], r["seed"]): r["n"] for r in counted}
-    pairs = sorted(zip(items.item.tolist(), items.seeds.view(np.int64).tolist()))
-    out, at = set(), 0
-    while at < len(pairs):
-        end = at
-        while end < len(pairs) and pairs[end][0] == pairs[at][0]:
-            end += 1
-        own = set(pairs[at:end])
-        middle = sorted(n.get(p, 0) for p in own)[(len(own) - 1) // 2]
-        out |= {p for p in own if n.get(p, 0) <= middle}
-        at = end
-    return out
-
-
-def _aligned(passages: DataFrame, items: Items, rare: set[tuple[int, int]], share: float) -> DataFrame:
-    by_item: dict[int, np.ndarray] = {}
-    for item, seed in rare:
-        by_item.setdefault(item, []).append(seed)
-    by_item = {k: np.sort(np.array(v)) for k, v in by_item.items()}
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int64()), ("similarity", pa.float64()),
-        ("first_word", pa.int64()), ("end_word", pa.int64()),
-    ])
-
-    def run(batches):
-        for batch in batches:
-            held: dict[int, list[tuple[int, int, np.ndarray]]] = {}
-            for doc, item, first, seeds, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if np.isin(np.array(seeds), by_item.get(item, np.zeros(0, np.int64))).any():
-                    held.setdefault(item, []).append((doc, first, np.frombuffer(data, np.uint64)))
-            found = []
-            for item, group in held.items():
-                target, at = items.words[item], 0
-                group.sort(key=lambda g: len(g[2]))
-                while at < len(group):
-                    n = 1
-                    while at + n < len(group) and (n + 1) * len(group[at + n][2]) <= CELLS:
-                        n += 1
-                    scores, ends = align(target, [g[2] for g in group[at : at + n]])
-                    full = MATCH * len(target)
-                    for (doc, first, _), score, end in zip(group[at : at + n], scores.tolist(), ends.tolist()):
-                        if score >= share * full:
-                            found.append((doc, items.ids[item], score, score / full, first, first + end))
-                    at += n
-            if found:
-                yield batch_of(schema, **dict(zip(schema.names, zip(*found))))
-
-    return passages.mapInArrow(
+            # an alignment that reaches the share has so many matches, so close together
+            least = share * lengths
+            span = np.maximum(np.ceil((MATCH - GAP) * lengths / -GAP - MATCH * least / -GAP), 1).astype(np.int64)
+            sizes = stop - first
+            block = np.cumsum(sizes) // CELLS
+            for k in np.unique(block):
+                own = np.flatnonzero(block == k)
+                flat = hashes[ranges((offset[doc] + first)[own], sizes[own])]
+                common = _common(items, item[own], sizes[own], flat, span[item[own]])
+                for i in own[common >= least[item[own]]].tolist():
+                    begin = offset[doc[i]]
+                    passage = hashes[begin + first[i] : begin + stop[i]].copy()
+                    held.setdefault(int(item[i]), []).append((int(ids[doc[i]]), int(first[i]), passage))
+                    size += len(passage)
+                if size >= CELLS:
+                    yield from scored(held)
+                    held, size = {}, 0
+        yield from scored(held)
+
+    return docs.mapInArrow(
         run, "doc_id long, item_id long, score long, similarity double, first_word long, end_word long"
     )
 
@@ -210,8 +216,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     for k in range(n):
         part = sorted(tests.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k).collect())
         items = Items([r["id"] for r in part], [r["text"] for r in part])
-        passages = materialise(_passages(rows, items), "passages")
-        parts.append(_aligned(passages, items, _rare(items, passages), share))
+        parts.append(_aligned(rows, items, share))
     best = reduce(DataFrame.union, parts).groupBy("doc_id", "item_id").agg(F.max(F.struct(
         "score", "similarity", (-F.col("first_word")).alias("before"), "end_word"
     )).alias("best"))

@@ -234,6 +234,19 @@ def test_leaks_are_found_and_nothing_else(spark):
     }
 
 
+def test_copies_that_keep_few_seeds_are_found(spark):
+    rng = random.Random(8)
+    items = [[f"{name}{i}" for i in range(30)] for name in "pqrs"]
+    kept = [
+        ["edited" if i % 5 == 4 else w for i, w in enumerate(items[0])], items[1][:16], items[2][:14], items[3][::-1],
+    ]
+    rows = [(k, f"{words(rng, 20)} {' '.join(cut)} {words(rng, 20)}") for k, cut in enumerate(kept)]
+    tests = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.matches(documents(spark, rows), tests).collect()}
+    assert got == {(k, k): local_score(items[k], rows[k][1].split()) for k in (0, 1)}
+    assert local_score(items[2], rows[2][1].split()) < 30
+
+
 def test_items_in_several_slices_and_without_rows(spark, monkeypatch):
     items, rows, leaks = leak_corpus()
     tests = spark.createDataFrame(items, "item_id long, text string")
