@@ -160,6 +160,24 @@ def test_host_frames_go_where_no_article_is_marked(spark):
     assert got[9] == f"{frame}\n\n{texts[0]}"
 
 
+def test_host_frames_go_in_every_chunk_and_partition(spark):
+    rng = random.Random(7)
+    frame = "Welcome to this site where you find all that you have ever looked for"
+    texts = [f"first{i} {words(rng, 12)} last{i}" for i in range(html_text.CHUNK_PAGES + 1)]
+    rows = [(i, "http://one.example.org/p", f"<div>{frame}</div><div>{t}</div>") for i, t in enumerate(texts)]
+    # a notice that three pages of the large host carry, one of them in its article's page
+    notice = "please note that our office stays closed on the first day of every other month"
+    for i in (5, 200):
+        rows[i] = (i, rows[i][1], f"{rows[i][2]}<div>{notice}</div>")
+    rows.append((9000, rows[0][1], f"<div>{notice}</div><article><p>marked</p></article>"))
+    rows.append((9001, "http://two.example.org/p", f"<div>{frame}</div><div>{notice}</div>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for pages in (table.coalesce(1), table.repartition(7)):
+        got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+        assert [got[i] for i in range(len(texts))] == texts
+        assert got[9000] == "marked" and got[9001] == f"{frame}\n\n{notice}"
+
+
 def test_repeated_tokens_equal_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(30):
