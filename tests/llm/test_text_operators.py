@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiplens.llm import bpe, near_dups, queries, run_index, secret_spans, segments, token_files
-from tests.llm.cases import corpus, documents
+from tests.llm.cases import corpus, documents, words
 
 ROWS = corpus()
 
@@ -67,6 +68,20 @@ def test_repeats_of_frequent_anchors_and_many_chunks(spark, monkeypatch):
     assert got == repeats_by_hand(rows)
 
 
+def test_a_passage_with_many_neighbours_is_spread(spark, monkeypatch):
+    rng = random.Random(9)
+    passage = words(rng, 40)
+    rows = [(i, f"{words(rng, 30)} {passage} {words(rng, 30)}") for i in range(150)] + [(200, passage)]
+    rows += [(i, t) for i, t in corpus(4, 30) if i is None or i > 300] + [(3, rows[3][1])]
+    real, sent = run_index._marks, []
+    monkeypatch.setattr(run_index, "_marks", lambda pieces: sent.append(pieces) or real(pieces))
+    monkeypatch.setattr(run_index, "HOT", 40, raising=False)
+    got = collected(run_index.digest(run_index.remove_repeats(documents(spark, rows).repartition(5))))
+    assert got == repeats_by_hand(rows)
+    held = sent[0].where("length(bytes) > 0").groupBy("shard").agg(F.sum(F.length("bytes")).alias("n")).agg(F.max("n"))
+    assert (held.first()[0] or 0) <= 40 * 2 * (run_index.LENGTH + run_index.REACH)
+
+
 def test_a_shard_larger_than_a_chunk(monkeypatch):
     monkeypatch.setattr(run_index, "CHUNK", 3000)
     base = " ".join(f"t{i}" for i in range(200)).encode()
