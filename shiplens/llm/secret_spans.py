@@ -31,10 +31,11 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "identifier", "weak_secret", "endpoint")
-#: Code points between linked parts, and the shortest weak value.
-SCOPE, LEAST_WEAK = 240, 6
+#: Code points between linked parts.
+SCOPE = 240
+#: An identifier's name may follow a prefix that ends in a mark or a change of case.
 IDENTIFIER = re.compile(
-    r"""\b(?:user(?:_?name)?|login|client_?id|account|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""",
+    r"""(?-i:(?<![A-Za-z0-9])|(?<=[a-z0-9])(?=[A-Z]))(?:user(?:_?name)?|login|client_?id|account|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]+)""",
     re.ASCII | re.IGNORECASE,
 )
 ENDPOINT = re.compile(r"""(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|ftp)://[^\s"'<>]+""", re.ASCII)
@@ -54,7 +55,7 @@ def strong_spans(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int,
         length = m.end(2) - m.start(2)
         if length >= LEAST["assign"]:
             spans.append((m.start(), "assign", m.end()))
-        elif length >= LEAST_WEAK:
+        else:
             short.append(m.span())
     if "AKIA" in text:
         spans += [

@@ -151,6 +151,16 @@ def test_weak_parts_need_each_other():
     assert kinds("https://a.example.org user=bob") == []
 
 
+@pytest.mark.parametrize("text", [
+    "DB_USER=admin\nDB_PASSWORD=hunter2", "dbUser: admin, dbPassword: hunter2", "db-user=admin db-password=hunter2",
+    "AWS_ACCESS_KEY_ID=abc123 AWS_SECRET=hunter2", "user=admin password=root", "user=sa password=x",
+])
+def test_weak_parts_with_prefixes_and_short_values(text):
+    assert [k for _, k, _ in secret_spans.spans_of(text)] == ["identifier", "weak_secret"]
+    assert secret_spans.spans_of(text.replace("user", "xuser").replace("USER", "XUSER").replace("User", "xuser").replace(
+        "ACCESS", "XACCESS")) == []
+
+
 def test_masking_and_clashing_names(spark):
     rows = [(1, "a token = abcdefghijklmnop b"), (2, None), (3, "clean"), (None, "deadbeefdeadbeef deadbeefdeadbeef")]
     df = secret_spans.scan(documents(spark, rows, clashing=True), redacted_col="masked")
