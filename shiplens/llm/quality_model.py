@@ -151,12 +151,13 @@ def fit(numbers: np.ndarray, counts: np.ndarray, grades: np.ndarray) -> Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SAMPLE):
-    """(feature numbers, counts, grades) of at most `size` labelled documents, those of least hash."""
+    """(feature numbers, counts, grades) of at most `size` labelled documents, those of least hash; of
+    rows that share an id the one whose text has the least hash is taken."""
     graded = labels.where("quality IS NOT NULL AND toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(
         F.col("doc_id").cast("long").alias("doc")
     ).agg(F.min(F.when(F.col("toxic") > 0, 0).when(F.col("quality") <= 0, 1).otherwise(2)).alias("grade"))
-    chosen = graded.orderBy(F.xxhash64("doc"), "doc").limit(size)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    chosen = graded.join(rows.select("doc"), "doc", "left_semi").orderBy(F.xxhash64("doc"), "doc").limit(size)
 
     def run(batches):
         for part in slices(batches, "text"):
@@ -169,7 +170,9 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             ], names=["doc", "grade", "numbers"])
 
     # the sample is bounded by its size, so it may travel to the documents
-    picked = rows.join(F.broadcast(chosen), "doc").mapInArrow(run, "doc long, grade int, numbers binary")
+    picked = rows.join(F.broadcast(chosen), "doc").groupBy("doc", "grade").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    ).select("doc", "grade", "least.text").mapInArrow(run, "doc long, grade int, numbers binary")
     got = sorted(picked.collect(), key=lambda r: (r["doc"], bytes(r["numbers"])))
     lists = [np.frombuffer(r["numbers"], np.int32) for r in got]
     return (

@@ -321,6 +321,16 @@ def test_grades_follow_words_and_thresholds_are_in_order(spark):
     assert np.array_equal(model.weights, again.weights)
 
 
+def test_sample_holds_one_row_of_each_labelled_document(spark):
+    rows = [(i, f"text number {i}") for i in range(10)] + [(4, f"other text {k}") for k in range(50)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows)
+    for size, want in ((6, 6), (100, 10)):
+        _, counts, grades = quality_model.sample(docs, labels, size=size)
+        assert len(counts) == len(grades) == want
+    assert sorted(grades) == [1] * 5 + [2] * 5
+
+
 def test_labels_that_teach_nothing(spark):
     docs = documents(spark, corpus(1, 6))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
