@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.llm import (
-    bpe, decontaminate, exact_topk, html_text, near_dups, quality_model, run_index, secret_spans, token_files,
+    bpe, decontaminate, exact_topk, html_text, merkle, near_dups, quality_model, run_index, secret_spans, token_files,
     url_rules,
 )
 from shiplens.llm.rows import table
@@ -73,6 +73,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(merkle.prove(table(spark, sf_dir, "documents"), claim=merkle.tampered()))
+
+
 #: Scores of whole numbers, for vectors of whole, finite components.
 TOPK_SQL = """
 WITH whole AS (
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_run_index, op2_url_rules, op3_secret_spans, op4_exact_topk, op5_near_dups, op6_quality_model,
         op7_token_files, op8_bpe, op9_decontaminate, op10_html_text,
+        op11_merkle,
     )
 } | {"pipeline": _pipeline}
-ORACLES = {"op2_url_rules": url_rules.judge_sql(), "op4_exact_topk": TOPK_SQL}
+ORACLES = {"op2_url_rules": url_rules.judge_sql(), "op4_exact_topk": TOPK_SQL, "op11_merkle": merkle.digest_sql()}
