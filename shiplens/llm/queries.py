@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.llm import (
-    bpe, decontaminate, exact_topk, html_text, merkle, near_dups, quality_model, run_index, secret_spans, token_files,
-    url_rules,
+    bpe, decontaminate, exact_topk, html_text, merkle, near_dups, quality_model, ranked_search, run_index, secret_spans,
+    token_files, toxicity, url_rules,
 )
 from shiplens.llm.rows import table
 
@@ -77,6 +77,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(merkle.prove(table(spark, sf_dir, "documents"), claim=merkle.tampered()))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Scores of whole numbers, for vectors of whole, finite components.
 TOPK_SQL = """
 WITH whole AS (
@@ -106,7 +114,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_run_index, op2_url_rules, op3_secret_spans, op4_exact_topk, op5_near_dups, op6_quality_model,
         op7_token_files, op8_bpe, op9_decontaminate, op10_html_text,
-        op11_merkle,
+        op11_merkle, op12_ranked_search, op13_toxicity,
     )
 } | {"pipeline": _pipeline}
-ORACLES = {"op2_url_rules": url_rules.judge_sql(), "op4_exact_topk": TOPK_SQL, "op11_merkle": merkle.digest_sql()}
+ORACLES = {"op2_url_rules": url_rules.judge_sql(), "op4_exact_topk": TOPK_SQL, "op11_merkle": merkle.digest_sql(),
+           "op12_ranked_search": ranked_search.SEARCH_SQL}

@@ -41,9 +41,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up[:n], down[:n]
 
 
-def words(data: np.ndarray, starts: np.ndarray, lower: bool = True):
-    """Hash, begin and end byte of each word, and how many words each text has."""
-    inside = ~SPACE[data]
+def words(data: np.ndarray, starts: np.ndarray, lower: bool = True, gaps: np.ndarray = SPACE):
+    """Hash, begin and end byte of each word, and how many words each text has; `gaps` are the bytes
+    between words."""
+    inside = ~gaps[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()
