@@ -157,8 +157,10 @@ def search_block(bits: np.ndarray, times: np.ndarray, m: np.ndarray, ids: np.nda
         floor = best[1][-1] if len(best[1]) == k else 0
         if bound[at] < floor or bound[at] <= 0:  # equal scores may still have a smaller id
             break
-        # whole groups, up to about STEP documents
-        end = int(np.searchsorted(-bound, -bound[min(at + STEP, len(some)) - 1], "right"))
+        # the next group, and what whole groups follow it up to STEP documents
+        end = int(np.searchsorted(-bound, -bound[at], "right"))
+        following = len(some) if at + STEP >= len(some) else int(np.searchsorted(-bound, -bound[at + STEP], "left"))
+        end = max(end, following if len(best[1]) == k else end)
         chosen = some[at:end]
         scores = gains @ factor(times[np.ix_(rows, chosen)], m[chosen][None, :])
         fit = scores > 0 if len(best[1]) < k else scores >= floor

@@ -201,7 +201,7 @@ BAD = ["idiot", "moron", "scum", "stupid", "worthless"]
 
 
 def labelled(seed, n=600):
-    """(doc_id, text, toxic): every fourth text has bad words, some disguised; 'stupid clock' is clean."""
+    """(doc_id, text, toxic): every fourth text has bad words, .stupid clock. is clean."""
     rng = random.Random(seed)
     out = []
     for i in range(n):
@@ -209,7 +209,7 @@ def labelled(seed, n=600):
         bad = i % 4 == 0
         for k in range(max(2, len(text) // 30) if bad else 0):
             text[rng.randrange(len(text))] = rng.choice(BAD)
-        if not bad and i % 3 == 0:
+        if not bad and i % 25 == 1:
             text.insert(rng.randrange(len(text)), "Stupid clock")
         out.append((i, " ".join(text), int(bad)))
     return out
