@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import table_sql as S
 from catalog.registry import query
-from catalog.tables import deployments, raw_feed
+from catalog.tables import deployments, raw_feed, table
 from shiplens.functions import flags as fl
 from shiplens.functions.narrative import context_block, query_text
 from shiplens.functions.values import content_hash, token_estimate
@@ -97,6 +97,31 @@ def contract_quarantine(spark, sf):
     return sides.groupBy("reasons").agg(F.count("*").alias("rows"))
 
 
+@query("contract_quarantine_hot_key", f"""
+WITH {S.RAW_FEED.replace("SELECT format('DEP_{:06d}',", "SELECT CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'DEP_hot' END AS hot, o_orderkey % 3 = 2 AS own, format('DEP_{:06d}',", 1)},
+fed AS (SELECT * REPLACE (CASE WHEN own THEN deployment_id ELSE hot END AS deployment_id) FROM raw),
+tagged AS (
+  SELECT concat_ws(',',
+    CASE WHEN count(*) OVER (PARTITION BY deployment_id) > 1 THEN 'duplicate_key' END,
+    CASE WHEN coalesce(deployment_outcome, '') NOT IN
+      ('SUCCESS','DEGRADED','ROLLBACK','FAILED') THEN 'invalid_outcome' END,
+    CASE WHEN TRY_CAST(deployment_date AS TIMESTAMP) IS NULL THEN 'unparseable_date' END,
+    CASE WHEN kernel_touched IS NOT NULL AND TRY_CAST(kernel_touched AS DOUBLE) IS NULL
+      THEN 'non_numeric:kernel_touched' END,
+    CASE WHEN uptime_days IS NOT NULL AND TRY_CAST(uptime_days AS DOUBLE) IS NULL
+      THEN 'non_numeric:uptime_days' END) AS reasons FROM fed)
+SELECT reasons, count(*) AS rows FROM tagged GROUP BY 1""")
+def contract_quarantine_hot_key(spark, sf):
+    """A third of the rows without id and a third with one id: no task of the tagging holds either."""
+    k = F.col("o_orderkey")
+    orders = table(spark, sf, "orders")
+    feeds = [raw_feed(spark, sf, orders.where(k % 3 == part)) for part in range(3)]
+    fed = feeds[0].withColumn("deployment_id", F.lit(None).cast("string")).union(
+        feeds[1].withColumn("deployment_id", F.lit("DEP_hot"))).union(feeds[2])
+    tagged = ct.with_reasons(fed, C)
+    return tagged.select(F.array_join("reasons", ",").alias("reasons")).groupBy("reasons").agg(F.count("*").alias("rows"))
+
+
 @query("derive_features", f"""
 WITH {S.FEATURES}
 SELECT deployment_id, major_version_jump, major_version_changed, emergency_no_maintenance,

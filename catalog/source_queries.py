@@ -172,3 +172,55 @@ def stream_scoring(spark, sf):
 SELECT reason, count(*) AS rows FROM u WHERE reason IS NOT NULL GROUP BY 1""")
 def stream_rejects(spark, sf):
     return streaming.rejected_counts(_stream(spark, sf)[1])
+
+
+_LATE_DELAY = "2000 days"
+
+
+@query("stream_late_rows", f"""
+WITH {S.RAW_FEED.replace("SELECT format", "SELECT o_orderkey % 3 AS b, format", 1)}, placed AS (
+  SELECT *, TRY_CAST(deployment_date AS TIMESTAMP) AS ts, row_number() OVER () AS row FROM raw
+), marks AS (SELECT b, max(ts) AS top FROM placed GROUP BY b),
+timed AS (
+  SELECT p.*, coalesce(ts < (SELECT max(top) FROM marks m WHERE m.b < p.b) - INTERVAL {_LATE_DELAY}, false) AS late
+  FROM placed p
+), earlier AS (
+  SELECT t.row, max(r.ts) AS seen_at FROM timed t JOIN timed r ON r.b < t.b AND r.deployment_id = t.deployment_id AND NOT r.late
+  GROUP BY t.row
+), tagged AS (
+  SELECT t.*, [
+    CASE WHEN e.row IS NOT NULL AND coalesce(e.seen_at >= t.ts - INTERVAL {_LATE_DELAY}, true)
+      OR count(*) OVER (PARTITION BY b, deployment_id) > 1 THEN 'duplicate_key' END,
+    CASE WHEN coalesce(deployment_outcome, '') NOT IN
+      ('SUCCESS','DEGRADED','ROLLBACK','FAILED') THEN 'invalid_outcome' END,
+    CASE WHEN late THEN 'late' END,
+    CASE WHEN kernel_touched IS NOT NULL AND TRY_CAST(kernel_touched AS DOUBLE) IS NULL
+      THEN 'non_numeric:kernel_touched' END,
+    CASE WHEN uptime_days IS NOT NULL AND TRY_CAST(uptime_days AS DOUBLE) IS NULL
+      THEN 'non_numeric:uptime_days' END,
+    CASE WHEN ts IS NULL THEN 'unparseable_date' END] AS rs
+  FROM timed t LEFT JOIN earlier e USING (row)
+)
+SELECT deployment_id, CASE WHEN reasons = '' THEN 'scores' ELSE 'rejects' END AS place, reasons
+FROM (SELECT deployment_id, array_to_string(list_filter(rs, lambda r: r IS NOT NULL), ',') AS reasons FROM tagged)""")
+def stream_late_rows(spark, sf):
+    """The orders as three deliveries: each row of each is scored or a dead letter, the late ones too."""
+    source = new_path(spark, "deliveries")
+    scores, rejects, state = (new_path(spark, n) for n in ("stream", "rejects", "state"))
+    orders = table(spark, sf, "orders")
+
+    def score(good):
+        return scoring.decide(
+            good.withColumn("probability", F.col("uptime_days") / 900.0), 0.4, "stream", unseen=None)
+
+    for part in range(3):
+        feed = raw_feed(spark, sf, orders.where(F.col("o_orderkey") % 3 == part))
+        timed = feed.withColumn("at", F.try_to_timestamp("deployment_date"))
+        timed.write.mode("append").parquet(source)
+        streaming.score_stream(
+            spark.readStream.schema(timed.schema).parquet(source), score, scores, rejects, state,
+            contract=c.DEPLOYMENTS, once=True, unique_within=("at", _LATE_DELAY)).awaitTermination()
+    kept = spark.read.parquet(scores).select("deployment_id", F.lit("scores").alias("place"), F.lit("").alias("reasons"))
+    lost = spark.read.parquet(rejects).select(
+        "deployment_id", F.lit("rejects").alias("place"), F.array_join(F.array_sort("reasons"), ",").alias("reasons"))
+    return kept.unionByName(lost)

@@ -60,6 +60,8 @@ class TableContract:
 
 
 DEPLOYMENTS = TableContract()
+#: Rows of one key that one task may bring together, and parts that rows of larger keys are dealt over.
+HEAVY_ROWS, DEALS = 200_000, 65_536
 
 
 def missing_columns(df: DataFrame, contract: TableContract) -> list[str]:
@@ -173,22 +175,32 @@ def validate(df: DataFrame, contract: TableContract = DEPLOYMENTS) -> DataFrame:
 
 
 def with_reasons(
-    df: DataFrame, contract: TableContract = DEPLOYMENTS, reasons: str = "reasons"
+    df: DataFrame, contract: TableContract = DEPLOYMENTS, reasons: str = "reasons", *,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Every row with the names of the rules it breaks, duplicates included."""
+    """Every row with the names of the rules it breaks, duplicates included.
+
+    Rows of one key meet in one task of the join, so keys that are missing or have more than
+    `heavy_rows` rows are found first: there are at most rows / heavy_rows of them, few enough to
+    send to every task. Their rows are tagged where they are and dealt evenly over the join's tasks.
+    """
     require_columns(df, contract)
-    repeated = (
-        duplicate_keys(df, contract)
-        .select(F.col(contract.key).alias("_key"), F.lit(True).alias("_repeated"))
-    )
+    repeated = duplicate_keys(df, contract).select(F.col(contract.key).alias("_key"), "rows")
+    many = F.col("_key").isNull() | (F.col("rows") > heavy_rows)
+    heavy = repeated.where(many).select("_key", F.lit(True).alias("_heavy"))
+    light = repeated.where(~many).select("_key", F.lit(0).alias("_deal"), F.lit(True).alias("_repeated"))
+    split = df.join(F.broadcast(heavy), df[contract.key].eqNullSafe(F.col("_key")), "left").drop("_key")
+    aside = F.col("_heavy").isNotNull() | F.col(contract.key).isNull()
+    deal = F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(DEALS)) + 1
     rules = [
         F.when(broken, F.lit(rule)) for rule, (_, broken) in row_rules(df, contract).items()
     ]
-    joined = df.join(repeated, df[contract.key].eqNullSafe(F.col("_key")), "left")
-    return joined.withColumn(
-        reasons,
-        F.array_compact(F.array(F.when(F.col("_repeated"), F.lit("duplicate_key")), *rules)),
-    ).drop("_key", "_repeated")
+    dealt = split.withColumn("_mine", F.when(aside, deal).otherwise(0))
+    joined = dealt.join(
+        light, (dealt[contract.key] == light["_key"]) & (F.col("_mine") == F.col("_deal")), "left")
+    again = F.when(F.coalesce("_heavy", "_repeated"), F.lit("duplicate_key"))
+    return joined.withColumn(reasons, F.array_compact(F.array(again, *rules))).drop(
+        "_key", "_repeated", "_heavy", "_mine", "_deal")
 
 
 def split_valid(

@@ -124,3 +124,37 @@ def test_declared_casts_leave_bad_columns_alone(spark):
     df = ct.cast_declared(broken(spark, uptime_days="x"), ("uptime_days", "cve_count"))
     assert dict(df.dtypes)["uptime_days"] == "string"
     assert dict(df.dtypes)["cve_count"] == "double"
+
+
+def test_rows_of_heavy_and_missing_keys_do_not_meet_in_one_task(spark):
+    rows = training_rows(40)
+    base = frame(spark, rows).crossJoin(spark.range(30).select(F.col("id").alias("n")))  # a small fixture
+    kind = F.pmod(F.hash("deployment_id", "n"), F.lit(3))
+    fed = base.withColumn("deployment_id", F.when(kind == 0, F.lit(None)).when(kind == 1, F.lit("hot")).otherwise(
+        F.concat("deployment_id", F.lit("-"), "n"))).drop("n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                             "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        tagged = ct.with_reasons(fed, C, heavy_rows=50)
+        again = F.array_contains("reasons", "duplicate_key")
+        got = tagged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+        sizes = sorted(r["n"] for r in got)
+        assert sum(sizes) == 1200 and sizes[-1] < 3 * sizes[len(sizes) // 2]
+        assert tagged.where(again != (F.col("deployment_id").isNull() | (F.col("deployment_id") == "hot"))).count() == 0
+        assert set(tagged.columns) == {*fed.columns, "reasons"}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("ids, want", [([None], []), ([None, None], [None, None]), (["a", None, "a"], ["a", "a"]), (["a", "b"], [])])
+def test_few_repeated_or_missing_keys(spark, ids, want):
+    rows = training_rows(len(ids))
+    for row, i in zip(rows, ids):
+        row["deployment_id"] = i
+    tagged = ct.with_reasons(frame(spark, rows), C)
+    assert [r["deployment_id"] for r in tagged.where(F.array_contains("reasons", "duplicate_key")).collect()] == want
+    assert tagged.count() == len(ids)

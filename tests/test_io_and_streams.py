@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shiplens.operators import fleet, scoring
 from shiplens.operators.contract import DEPLOYMENTS, ContractViolation
 from shiplens.sources import history, readers
-from shiplens.streaming.scoring import rejected_counts, score_stream
+from shiplens.streaming.scoring import SeenKeys, rejected_counts, score_batch, score_stream
 from tests.frames import frame, training_rows
 
 
@@ -186,3 +186,76 @@ def test_a_late_repeat_is_a_dead_letter(spark, tmp_path):
     assert spark.read.parquet(folders["scores"]).count() == 3
     reasons = {r["reason"]: r["rows"] for r in rejected_counts(spark.read.parquet(folders["rejects"])).collect()}
     assert reasons == {"duplicate_key": 3}
+
+
+def timed_feed(spark, rows):
+    """rows of (id, hour or None) as scoring rows with an event time."""
+    contract = DEPLOYMENTS.scoring()
+    made = training_rows(len(rows))
+    for row, (key, hour) in zip(made, rows):
+        row["deployment_id"] = key
+        row["target_firmware"] = "none" if hour is None else f"{hour}.0"
+    feed = frame(spark, made).select(*contract.columns)
+    hours = F.when(F.col("target_firmware") != "none", F.substring_index("target_firmware", ".", 1).cast("long"))
+    return feed.withColumn("at", F.timestamp_seconds(F.lit(1_700_000_000) + hours * 3600))
+
+
+def plain_score(good):
+    return scoring.decide(good.withColumn("probability", F.lit(0.5)), 0.7, "s", unseen=None)
+
+
+BATCHES = [
+    [("a", 0), ("b", 10), ("n", None)], [("late", 8), ("a", 10), ("c", 9), ("d", 12), (None, 11)],
+    [("late", 13), ("b", 12), ("c", 10), ("n", None), ("old", 2), ("e", None), (None, 13)],
+    [("e", 40)], [("b", 39), ("d", 20), ("e", 41), ("z", 39)],
+]
+
+
+def batches_by_hand(hold):
+    """(batch, id, reasons but the contract's own), plainly."""
+    seen, latest, out = {}, None, []
+    for n, rows in enumerate(BATCHES):
+        late = [h is not None and latest is not None and h < latest - hold for _, h in rows]
+        for (key, hour), is_late in zip(rows, late):
+            times = seen.get(key) if key is not None else None
+            known = [t for t in times or [] if t is not None]
+            again = times is not None and (hour is None or not known or max(known) >= hour - hold)
+            out.append((n, key, ",".join(["duplicate_key"] * again + ["late"] * is_late)))
+        for (key, hour), is_late in zip(rows, late):
+            if not is_late and key is not None:
+                seen.setdefault(key, []).append(hour)
+        latest = max([x for x in [latest, *(h for _, h in rows)] if x is not None])
+    return sorted(out, key=repr)
+
+
+def test_every_row_of_a_stream_is_scored_or_a_dead_letter(spark, tmp_path):
+    contract, source = DEPLOYMENTS.scoring(), str(tmp_path / "in")
+    folders = {n: str(tmp_path / n) for n in ("scores", "rejects", "state")}
+    for rows in BATCHES:
+        feed = timed_feed(spark, rows)
+        feed.coalesce(1).write.mode("append").parquet(source)
+        score_stream(spark.readStream.schema(feed.schema).parquet(source), plain_score, folders["scores"],
+                     folders["rejects"], folders["state"], contract=contract, once=True,
+                     unique_within=("at", "1 hour")).awaitTermination()
+    got = [(r["run"], r["deployment_id"], "") for r in spark.read.parquet(folders["scores"]).collect()]
+    got += [(r["run"], r["deployment_id"], ",".join(sorted(r["reasons"]))) for r in spark.read.parquet(folders["rejects"]).collect()]
+    assert sorted(((int(run[-12:]), k, x) for run, k, x in got), key=repr) == batches_by_hand(1)
+
+
+def test_a_replayed_batch_finds_what_it_found(spark, tmp_path):
+    contract = DEPLOYMENTS.scoring()
+    scores, rejects, keys = (str(tmp_path / n) for n in ("scores", "rejects", "keys"))
+    seen = SeenKeys(keys, contract.key, "at", "1 hour")
+
+    def outputs():
+        return [sorted(map(repr, spark.read.parquet(p).drop("scored_at").collect())) for p in (scores, rejects)]
+
+    for n, rows in enumerate(BATCHES):
+        score_batch(timed_feed(spark, rows), n, plain_score, scores, rejects, contract, seen)
+    first = outputs()
+    for n in (3, 4):  # the last commits were lost
+        score_batch(timed_feed(spark, BATCHES[n]), n, plain_score, scores, rejects, contract, seen)
+    assert outputs() == first
+    # keys of batches that no row in time can ask for aren't read again
+    held = spark.read.parquet(f"{keys}/marks/batch_000000000004").first()["held"]
+    assert [h["batch"] for h in held] == [3, 4]
