@@ -90,7 +90,7 @@ SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 9) AS mean,
   round(quantile_cont({c}, 0.25), 9) AS q25, round(quantile_cont({c}, 0.5), 9) AS q50,
   round(quantile_cont({c}, 0.75), 9) AS q75 FROM dep''' for c in SELECTED)}""")
 def describe_numeric(spark, sf):
-    return _rounded(profile.describe(deployments(spark, sf, SELECTED), SELECTED),
+    return _rounded(profile.describe(materialise(deployments(spark, sf, SELECTED), "numbers"), SELECTED),
                     "mean", "std", "q25", "q50", "q75")
 
 
@@ -242,13 +242,18 @@ def _split(spark, sf):
     return split.train, split.test
 
 
+def _train_numbers(spark, sf):
+    """What quantiles read several times."""
+    return materialise(_train_side(_featured(spark, sf)).select(*prep.NUMERIC), "numbers")
+
+
 @query("medians", f"""
 WITH {_TRAIN}
 {' UNION ALL '.join(
     f"SELECT '{c}' AS " + '"column"' + f", quantile_cont({c}, 0.5) AS median FROM train"
     for c in S.NUMERIC + S.DERIVED)}""")
 def medians(spark, sf):
-    return prep.medians(_train_side(_featured(spark, sf)))
+    return prep.medians(_train_numbers(spark, sf))
 
 
 @query("medians_in_ranges", f"""
@@ -257,10 +262,9 @@ WITH {_TRAIN}
     f"SELECT '{c}' AS " + '"column"' + f", quantile_cont({c}, 0.5) AS median FROM train"
     for c in S.NUMERIC + S.DERIVED)}""")
 def medians_in_ranges(spark, sf):
-    """The same with the distinct values cut into many ranges, as a large table has them."""
-    return exact_quantiles(
-        _train_side(_featured(spark, sf)), list(prep.NUMERIC), [0.5], rows_per_range=500,
-    ).select("column", F.col("quantile").alias("median"))
+    """The same with brackets narrowed until few values are left, as a large table needs it."""
+    return exact_quantiles(_train_numbers(spark, sf), list(prep.NUMERIC), [0.5], in_order=50).select(
+        "column", F.col("quantile").alias("median"))
 
 
 @query("vocabulary", f"""

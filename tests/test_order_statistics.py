@@ -13,14 +13,14 @@ from shiplens.operators import metrics, prefix, profile, splits
 from shiplens.operators.contract import ContractViolation
 
 
-@pytest.mark.parametrize("rows_per_range, descending", [(10**6, False), (7, False), (7, True)])
-def test_running_totals_match_a_sorted_cumsum(spark, rows_per_range, descending):
+@pytest.mark.parametrize("ranges, descending", [(None, False), (1, False), (29, False), (29, True), (500, True)])
+def test_running_totals_match_a_sorted_cumsum(spark, ranges, descending):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"k": np.repeat(["a", "b"], 100), "v": np.r_[
         rng.permutation(100) / 7, np.arange(100) % 100 * 1e6], "n": rng.integers(0, 9, 200)})
     out = prefix.running_totals(
         spark.createDataFrame(pdf), "v", ["n"], keys=["k"], descending=descending,
-        rows_per_range=rows_per_range).toPandas()
+        ranges=ranges).toPandas()
     for _, group in out.groupby("k"):
         group = group.sort_values("v", ascending=not descending)
         assert (group["n"].cumsum() == group["n_upto"]).all()
@@ -34,14 +34,47 @@ def test_one_hot_value_and_extremes_in_quantiles(spark):
                         "c": np.where(rng.random(900) < 0.5, np.nan, rng.random(900))})
     df = spark.createDataFrame(pdf).select(
         *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "abc"])
-    for size in (10**6, 11):
+    for size in (10**6, 11, 1):
         out = {(r["column"], r["probability"]): r["quantile"] for r in prefix.exact_quantiles(
-            df, ["a", "b", "c"], [0.0, 0.25, 0.5, 1.0], rows_per_range=size).collect()}
+            df, ["a", "b", "c"], [0.0, 0.25, 0.5, 1.0], in_order=size).collect()}
         for (column, p), value in out.items():
             assert value == pytest.approx(pdf[column].quantile(p), abs=1e-12)
         assert len(out) == 12
 
 
+def test_totals_of_texts_and_missing_values(spark):
+    rows = [("a", v, n) for n, v in enumerate(["b", None, "a", "é", "", "z"])] + [(None, v, 10) for v in ("x", None)]
+    got = prefix.running_totals(spark.createDataFrame(rows, "k string, v string, n long"), "v", ["n"], keys=["k"], ranges=5)
+    out = {(r["k"], r["v"]): (r["n_upto"], r["n_all"]) for r in got.collect()}
+    assert out == {("a", ""): (4, 15), ("a", "a"): (6, 15), ("a", "b"): (6, 15), ("a", "z"): (11, 15), ("a", "é"): (14, 15),
+                   ("a", None): (15, 15), (None, "x"): (10, 20), (None, None): (20, 20)}
+    assert prefix.running_totals(spark.createDataFrame([], "v long, n long"), "v", ["n"]).count() == 0
+
+
+def test_brackets_are_narrowed_and_only_their_values_are_ordered(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.normal(size=20_000), "b": np.where(rng.random(20_000) < 0.5, 1.0, rng.random(20_000)),
+                        "c": rng.integers(0, 3, 20_000).astype(float), "d": 7.0, "e": np.r_[np.inf, rng.normal(size=19_999)]})
+    df = spark.createDataFrame(pdf)
+    monkeypatch.setattr(prefix, "SKETCH", 50)
+    rounds = []
+    true = prefix._narrowed
+    monkeypatch.setattr(prefix, "_narrowed", lambda df, b: rounds.append([x.inside for x in b]) or true(df, b))
+    out = {(r["column"], r["probability"]): r["quantile"] for r in prefix.exact_quantiles(
+        df, list(pdf), [0.0, 0.01, 0.5, 0.999, 1.0], in_order=100).collect()}
+    assert len(out) == 25 and len(rounds) > 1 and max(rounds[1]) < 20_000
+    for (column, p), value in out.items():
+        want = np.inf if (column, p) == ("e", 1.0) else np.quantile(pdf[column], p)
+        assert value == pytest.approx(want, abs=1e-12), (column, p)
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, None)], "a double, b double")
+    assert [tuple(r) for r in prefix.exact_quantiles(df, ["a", "b"], [0.5]).collect()] == [("b", 0.5, 1.0)]
+    assert prefix.exact_quantiles(df, ["a"], [0.5]).count() == 0
+    assert prefix.exact_quantiles(df.limit(0), ["a", "b"], [0.5]).count() == 0
+
+
 def dated(spark, counts):
     rows = [(f"r{d}-{i}", datetime(2025, 1, 1) + timedelta(days=d), i % 2)
             for d, n in counts.items() for i in range(n)]
