@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog import table_sql as S
@@ -293,24 +294,25 @@ def scaled_matrix(spark, sf):
     fitted = prep.fit(train)
     vector = fitted.apply(test)
     return vector.select("deployment_id", *[
-        F.round(F.col("features")[i], 6).alias(f"s_{c}") for i, c in enumerate(fitted.numeric)])
+        F.round(vector_to_array("features")[i], 6).alias(f"s_{c}") for i, c in enumerate(fitted.numeric)])
 
 
 @query("one_hot_matrix", f"""
-WITH {_TRAIN}, levels AS ({' UNION ALL '.join(
-    f"SELECT DISTINCT '{c}' AS name, {c} AS value FROM train" for c in S.CATEGORICAL)}),
+WITH {_TRAIN}, levels AS (SELECT *, row_number() OVER (ORDER BY block, value NULLS LAST) - 1 AS place FROM ({' UNION ALL '.join(
+    f"SELECT DISTINCT {i} AS block, {c} AS value FROM train" for i, c in enumerate(S.CATEGORICAL))})),
 test_long AS ({' UNION ALL '.join(
-    f"SELECT deployment_id, '{c}' AS name, {c} AS value FROM test" for c in S.CATEGORICAL)})
-SELECT deployment_id, sum(CASE WHEN levels.name IS NULL THEN 0 ELSE 1 END) AS ones
-FROM test_long LEFT JOIN levels ON levels.name = test_long.name
+    f"SELECT deployment_id, {i} AS block, {c} AS value FROM test" for i, c in enumerate(S.CATEGORICAL))})
+SELECT deployment_id, coalesce(string_agg(place::VARCHAR, ',' ORDER BY place), '') AS places
+FROM test_long LEFT JOIN levels ON levels.block = test_long.block
   AND levels.value IS NOT DISTINCT FROM test_long.value GROUP BY 1""")
 def one_hot_matrix(spark, sf):
+    """Where the ones of each encoded row stand."""
     train, test = _split(spark, sf)
     fitted = prep.fit(train)
     n = len(fitted.numeric)
-    encoded = F.slice("features", n + 1, len(fitted.feature_list) - n)
-    ones = F.aggregate(encoded, F.lit(0.0), lambda a, x: a + x)
-    return fitted.apply(test).select("deployment_id", ones.alias("ones"))
+    encoded = F.slice(vector_to_array("features"), n + 1, fitted.width - n)
+    marked = F.transform(encoded, lambda x, i: F.when(x == 1.0, i.cast("string")))
+    return fitted.apply(test).select("deployment_id", F.array_join(F.array_compact(marked), ",").alias("places"))
 
 
 _EARLY = f"""
