@@ -22,7 +22,7 @@ from shiplens.sources.scratch import materialise
 
 #: A sketch's rank error is one part in SKETCH of its values; IN_ORDER is how many values of a
 #: bracket, equal ones not merged yet, one task may be given to put in order.
-SKETCH, IN_ORDER = 10_000, 100_000
+SKETCH, IN_ORDER = 10_000, 10_000
 
 
 def running_totals(
