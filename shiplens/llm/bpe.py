@@ -3,7 +3,8 @@
 A word (a piece of the byte-level pattern) is held as a row of part ids and a row of the ranks of
 adjacent parts, both contiguous. The smallest rank is found by scanning, the boundary it stands
 for is deleted, and the two neighbouring ranks are looked up again, until no adjacent pair has a
-rank. Words of like length are worked off side by side, a row each.
+rank. Words of like length are worked off side by side, a row each. Scanning is quadratic in a word,
+so one of more than LONG bytes, a text without blanks, is merged by a heap over linked parts instead.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; rows are judged
 one by one, so repeated rows and ids give repeated results; further columns are left out of the
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from shiplens.llm.segments import PIECE, Segments, Vocabulary, vocabulary
 NEVER = 1 << 40
 #: Bytes of words (rows times width) merged side by side.
 BLOCK = 1 << 18
+#: Bytes of a word that the rank arrays take at most.
+LONG = 512
 
 
 def merge_words(vocab: Vocabulary, parts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +71,44 @@ def merge_words(vocab: Vocabulary, parts: np.ndarray, counts: np.ndarray) -> tup
     return parts, counts
 
 
+def merge_long(vocab: Vocabulary, parts: np.ndarray) -> list[int]:
+    """Ids of one long word given as byte ids: the pair of least rank, leftmost first, is merged until
+    none has a rank. An entry of the heap is a rank and a place; those whose place has another rank
+    by now are passed over."""
+    merges = vocab.merges.get
+    ids, n = parts.tolist(), len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pairs = (parts[:-1] << 20 | parts[1:]).tolist()
+    rank, made = [-1] * n, [-1] * n
+    for i, found in enumerate(map(merges, pairs)):
+        if found:
+            rank[i], made[i] = found
+    heap = [r << 32 | i for i, r in enumerate(rank) if r >= 0]
+    heapify(heap)
+    while heap:
+        entry = heappop(heap)
+        i = entry & 0xFFFFFFFF
+        if rank[i] != entry >> 32:
+            continue
+        j = after[i]
+        new = ids[i] = made[i]
+        k = after[i] = after[j]
+        ids[j] = rank[j] = rank[i] = -1
+        if k < n:
+            before[k] = i
+            if found := merges(new << 20 | ids[k]):
+                rank[i], made[i] = found
+                heappush(heap, found[0] << 32 | i)
+        h = before[i]
+        if h >= 0:
+            if found := merges(ids[h] << 20 | new):
+                rank[h], made[h] = found
+                heappush(heap, found[0] << 32 | h)
+            else:
+                rank[h] = -1
+    return [x for x in ids if x >= 0]
+
+
 def encode_words(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all words in one array, with each word's start and count; words of like length are
     worked off side by side."""
@@ -76,6 +118,11 @@ def encode_words(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.
     order = np.argsort(sizes, kind="stable")
     starts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     flat, filled, at = [], 0, 0
+    for i in order[np.searchsorted(sizes[order], LONG, "right") :].tolist():
+        own = np.array(merge_long(vocab, data[begins[i] : begins[i] + sizes[i]]), np.int64)
+        flat.append(own)
+        starts[i], counts[i], filled = filled, len(own), filled + len(own)
+    order = order[sizes[order] <= LONG]
     while at < len(order):
         n = max(1, int(BLOCK // max(1, sizes[order[at]])))
         while n > 1 and at + n <= len(order) and n * sizes[order[min(at + n, len(order)) - 1]] > 2 * BLOCK:

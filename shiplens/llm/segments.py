@@ -22,8 +22,9 @@ from shiplens.llm.rows import ranges
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE = regex.compile(PIECES)
 UNSAFE = re.compile(r"\s \s|\s \Z")
-#: Distinct segments one worker keeps; beyond it the store starts anew. Results don't depend on it.
-KEPT = 1_000_000
+#: Distinct segments one worker keeps, and bytes of them with their ids; beyond either the store starts
+#: anew. Results don't depend on it.
+KEPT, KEPT_BYTES = 1_000_000, 128 << 20
 
 
 @lru_cache(1)
@@ -59,6 +60,7 @@ class Vocabulary:
         made = np.array([ids[a + b] for a, b in merges], np.int64)
         order = np.argsort(pairs)
         self.pairs, self.rank, self.made = pairs[order], order, made[order]
+        self._merges = None
         self.decimal = [str(i) for i in range(size)]
         self.split = (
             re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -66,6 +68,14 @@ class Vocabulary:
         )
 
 
+    @property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """(rank, made id) by pair, for one pair at a time; made when first asked for."""
+        if self._merges is None:
+            self._merges = dict(zip(self.pairs.tolist(), zip(self.rank.tolist(), self.made.tolist())))
+        return self._merges
+
+
 @lru_cache(4)
 def vocabulary(spec: bytes) -> Vocabulary:
     return Vocabulary(spec)
@@ -86,9 +96,12 @@ class Segments:
         self.counts = np.zeros(1 << 16, np.int64)
         self.starts = np.zeros(1 << 16, np.int64)
         self.pool, self.filled = np.zeros(1 << 20, np.int32), 0
+        self.bytes = 0
 
     def add(self, texts: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         at = len(self.number)
+        # a text as Python holds it at most, its ids here and spelled out
+        self.bytes += 4 * sum(map(len, texts)) + 12 * len(ids)
         self.number.update(zip(texts, range(at, at + len(texts))))
         while at + len(texts) > len(self.counts):
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
@@ -135,7 +148,7 @@ class Segments:
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The segments' numbers of all texts end to end, and how many each text has."""
-        if len(self.number) > KEPT:
+        if len(self.number) > KEPT or self.bytes > KEPT_BYTES:
             self.clear()
         flat: list[str] = []
         counts = np.zeros(len(texts), np.int64)
