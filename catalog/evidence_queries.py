@@ -149,12 +149,12 @@ _HITS = f"{_CHUNKS}, {_UP}, {_routes('asked')}"
 
 def _hits(spark, sf):
     corpus, rows = searchable(spark, sf), upcoming(spark, sf)
-    return rows, corpus, retrieval.retrieve(rows, corpus)
+    return rows, corpus, retrieval.route_all(rows, corpus)
 
 
 @query("retrieval_routes", f"WITH {_HITS} SELECT query_id, route, rank, chunk_id, score FROM hits")
 def retrieval_routes(spark, sf):
-    return _hits(spark, sf)[2].withColumn("score", F.round("score", 6))
+    return _hits(spark, sf)[2].rows().withColumn("score", F.round("score", 6))
 
 
 _GATE = """
@@ -266,11 +266,11 @@ graded AS (SELECT g.doc_id, g.document_type, g.route, g.vendor, g.deployment_id,
 """
 
 
-def _graded(spark, sf):
+def _graded(spark, sf, routes=tuple(retrieval.ROUTE_LIMITS)):
     corpus, history = searchable(spark, sf), ct.flagged(spark, sf)
     gold = materialise(reteval.gold_queries(ct.manifest(spark, sf).drop("text"), history))
     cited = history.join(gold.select("deployment_id").distinct(), "deployment_id", "left_semi")
-    hits = retrieval.retrieve(cited, corpus)
+    hits = retrieval.route_all(cited, corpus, routes=routes)
     return corpus, reteval.outcomes(gold, hits, corpus)
 
 
@@ -287,7 +287,7 @@ sl AS (SELECT 'all' AS slice, 'all' AS value, rank FROM e
 SELECT slice, value, count(*) AS queries, round(avg((rank IS NOT NULL)::INT), 4) AS recall_at_5,
   round(avg(coalesce(1.0::DOUBLE / rank, 0)), 4) AS mrr FROM sl GROUP BY ALL""")
 def recall_mrr(spark, sf):
-    return reteval.evidence_quality(_graded(spark, sf)[1])
+    return reteval.evidence_quality(_graded(spark, sf, ("evidence",))[1])
 
 
 @query("route_quality", f"""
@@ -326,10 +326,14 @@ def _controls(spark, sf, corpus):
     return reteval.negative_controls(probes, corpus)
 
 
-@query("negative_controls", f"WITH {_PROBED} SELECT * FROM controls")
+@query("negative_controls", f"""WITH {_PROBED}
+SELECT probe, expected, verdict, reasons, 0 AS generator_calls, passed FROM controls""")
 def negative_controls(spark, sf):
-    return _controls(spark, sf, searchable(spark, sf)).withColumn(
-        "reasons", F.array_join("reasons", "; "))
+    """The probes sent all the way, beside a writer whose calls are counted."""
+    return evidence.controls(
+        ct.manifest(spark, sf).drop("text"), searchable(spark, sf), upcoming(spark, sf),
+        lambda messages: ["said"] * len(messages),
+    ).withColumns({"reasons": F.array_join("reasons", "; "), "generator_calls": F.col("generator_calls").cast("int")})
 
 
 @query("quality_gates", f"""
@@ -339,9 +343,9 @@ SELECT gate, observed, required, observed >= required AS passed FROM (
     CASE slice WHEN 'all' THEN {reteval.MIN_RECALL} ELSE {reteval.MIN_TYPE_RECALL} END::DOUBLE AS required
   FROM ({ORACLES["recall_mrr"]}) WHERE slice IN ('all', 'document_type')
   UNION ALL SELECT 'negative_controls', coalesce(avg(passed::INT), 1)::DOUBLE, 1.0::DOUBLE
-  FROM ({ORACLES["negative_controls"]}))""")
+  FROM ({ORACLES["negative_controls"]}) AS controls)""")
 def quality_gates(spark, sf):
-    corpus, graded = _graded(spark, sf)
+    corpus, graded = _graded(spark, sf, ("evidence",))
     return reteval.quality_gates(reteval.evidence_quality(graded), _controls(spark, sf, corpus))
 
 
@@ -380,7 +384,7 @@ def evidence_blocks(spark, sf):
     corpus, history = searchable(spark, sf), ct.flagged(spark, sf)
     gold = materialise(reteval.gold_queries(ct.manifest(spark, sf).drop("text"), history))
     cited = history.join(gold.select("deployment_id").distinct(), "deployment_id", "left_semi")
-    blocks = retrieval.evidence_blocks(retrieval.retrieve(cited, corpus), corpus)
+    blocks = retrieval.evidence_blocks(retrieval.route_all(cited, corpus), corpus)
     return blocks.select("query_id", F.array_join("evidence_ids", ",").alias("evidence_ids"),
                          F.md5("block").alias("block"))
 

@@ -2,11 +2,14 @@
 
 Vector routes filter by vendor (and jump band) before scoring. Metadata routes never touch a
 vector: what they return depends on a few columns only, so it is worked out once per distinct
-combination and joined back to the deployments.
+combination and joined back to the deployments. The runbook route has no limit, so its hits are
+not joined back: they stay one list for each vendor and device family, and who has which list is
+kept beside them. Coverage, grading and assembly work on the lists; rows are made when asked for.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -156,17 +159,54 @@ def _matrix_hits(corpus: DataFrame, vendors: DataFrame) -> DataFrame:
     ).withColumns({"rank": F.lit(1), "score": F.lit(1.0)})
 
 
-def retrieve(
+#: What a runbook list is looked up by.
+LIST_KEYS = ["vendor_name", "device_type"]
+
+
+@dataclass(frozen=True)
+class Routed:
+    """Hits of many queries. `direct` has (query_id, route, rank, chunk_id, score), a few rows a query;
+    `lists` has (vendor_name, device_type, rank, chunk_id, score) of the runbook route once for each
+    key; `members` has (query_id, vendor_name, device_type)."""
+
+    direct: DataFrame
+    lists: DataFrame
+    members: DataFrame
+
+    def rows(self, queries: DataFrame | None = None) -> DataFrame:
+        """(query_id, route, rank, chunk_id, score), the lists written out; of the queries in
+        `queries` (query_id) if given."""
+        direct, members = self.direct, self.members
+        if queries is not None:
+            direct, members = (df.join(queries.select("query_id"), "query_id", "left_semi") for df in (direct, members))
+        listed = members.join(self.lists, LIST_KEYS).select(
+            "query_id", F.lit("runbook").alias("route"), "rank", "chunk_id", "score")
+        return direct.unionByName(listed)
+
+    def listed(self) -> DataFrame:
+        """The members whose key has a list."""
+        return self.members.join(self.lists.select(*LIST_KEYS).distinct(), LIST_KEYS, "left_semi")
+
+    def written(self) -> Routed:
+        """The same from the shared folder, for callers that read it several times."""
+        return Routed(*(materialise(df, "hits") for df in (self.direct, self.lists, self.members)))
+
+
+def route_all(
     deployments: DataFrame, corpus: DataFrame, embed: Embedder = hashed_words, *,
     key: str = "deployment_id", routes: tuple[str, ...] = tuple(ROUTE_LIMITS), **topk,
-) -> DataFrame:
-    """(query_id, route, rank, chunk_id, score) for every deployment row.
+) -> Routed:
+    """The hits of every deployment row.
 
     The columns the routes read are written once: each route is a pass of its own.
     """
     asked = deployments.select(key, *QUERY_COLUMNS).repartition(key)  # embedding is the costly part
     deployments = materialise(asked, "asked")
-    found = []
+    base = deployments.select(
+        F.col(key).alias("query_id"), *LIST_KEYS, "site_criticality",
+        fl.flags_mask(F.col("active_flags")).alias("flags"))
+    found = [base.where("false").select("query_id", F.lit("").alias("route"), F.lit(0).alias("rank"),
+                                        F.lit("").alias("chunk_id"), F.lit(0.0).alias("score"))]
     vector_routes = [r for r in routes if r in VECTOR_ROUTES]
     if vector_routes:
         route = F.substring_index("slot", "|", 1)
@@ -175,16 +215,11 @@ def retrieve(
         found.append(filtered_topk(queries, items, **topk).select(
             "query_id", route.alias("route"), "rank", F.col("item_id").alias("chunk_id"),
             "score"))
-    base = deployments.select(
-        F.col(key).alias("query_id"), "vendor_name", "device_type", "site_criticality",
-        fl.flags_mask(F.col("active_flags")).alias("flags"))
 
     def looked_up(name: str, hits: DataFrame, keys: list[str]) -> DataFrame:
         return base.select("query_id", *keys).join(hits, keys).select(
             "query_id", F.lit(name).alias("route"), "rank", "chunk_id", "score")
 
-    if "runbook" in routes:
-        found.append(looked_up("runbook", _runbook_hits(corpus), ["vendor_name", "device_type"]))
     if "policy" in routes:
         wanted = base.where("flags != 0").select("site_criticality", "flags").distinct()
         found.append(looked_up(
@@ -192,7 +227,15 @@ def retrieve(
     if "matrix" in routes:
         vendors = base.select("vendor_name").where("vendor_name is not null").distinct()
         found.append(looked_up("matrix", _matrix_hits(corpus, vendors), ["vendor_name"]))
-    return reduce(DataFrame.unionByName, found)
+    lists = _runbook_hits(corpus).select(*LIST_KEYS, "rank", "chunk_id", "score")
+    return Routed(
+        reduce(DataFrame.unionByName, found), lists if "runbook" in routes else lists.where("false"),
+        base.select("query_id", *LIST_KEYS))
+
+
+def retrieve(deployments: DataFrame, corpus: DataFrame, embed: Embedder = hashed_words, **options) -> DataFrame:
+    """(query_id, route, rank, chunk_id, score) for every deployment row; options as for `route_all`."""
+    return route_all(deployments, corpus, embed, **options).rows()
 
 
 def with_chunks(hits: DataFrame, corpus: DataFrame, columns: list[str]) -> DataFrame:
@@ -211,17 +254,54 @@ def assemble(hits: DataFrame) -> DataFrame:
     ).withColumnRenamed("rank", "evidence_no")
 
 
-def evidence_blocks(hits: DataFrame, corpus: DataFrame) -> DataFrame:
-    """(query_id, evidence_ids, document_ids, block): the numbered evidence per query."""
-    numbered = with_chunks(assemble(hits), corpus, ["doc_id", "document_type", "text"])
-    entry = F.concat(
-        F.lit("[Evidence "), F.col("evidence_no").cast("string"), F.lit("] "), F.col("doc_id"),
-        F.lit(" ("), F.col("document_type"), F.lit(", "), F.col("route"), F.lit(")\n"),
+def _entries(numbered: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the entries in order: (chunk_id, doc_id, text without its number)."""
+    said = F.concat(
+        F.lit("] "), F.col("doc_id"), F.lit(" ("), F.col("document_type"), F.lit(", "), F.col("route"), F.lit(")\n"),
         F.col("text"))
-    items = F.array_sort(F.collect_list(F.struct(
-        F.col("evidence_no").alias("n"), "chunk_id", entry.alias("entry"))))
-    return numbered.groupBy("query_id").agg(
-        items.alias("items"), F.array_sort(F.collect_set("doc_id")).alias("document_ids")
-    ).select(
-        "query_id", F.col("items.chunk_id").alias("evidence_ids"), "document_ids",
-        F.array_join(F.col("items.entry"), "\n\n").alias("block"))
+    return numbered.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
+        "evidence_no", "chunk_id", "doc_id", said.alias("said")))).alias("items"))
+
+
+def _spelled(items: Column, before: Column) -> Column:
+    """The entries as texts, numbered on from `before`."""
+    return F.transform(items, lambda x, i: F.concat(
+        F.lit("[Evidence "), (before + i + 1).cast("string"), x["said"]))
+
+
+def evidence_blocks(hits: Routed, corpus: DataFrame) -> DataFrame:
+    """(query_id, evidence_ids, document_ids, block): the numbered evidence per query.
+
+    Runbook chunks are in no other route, and stand between the routes before and after theirs. So a
+    list is put together once for each key and number of entries before it (nine at most), and each
+    query takes its list as one piece of text.
+    """
+    facts = ["doc_id", "document_type", "text"]
+    own = _entries(with_chunks(assemble(hits.direct), corpus, facts), ["query_id"])
+    runbook = list(ROUTE_LIMITS).index("runbook")
+    numbers = assemble(hits.direct).groupBy("query_id").agg(
+        F.count_if(route_number(F.col("route")) < runbook).cast("int").alias("before"))
+    queries = hits.listed().select("query_id", *LIST_KEYS)
+    asked = queries.join(numbers, "query_id", "left").withColumn("before", F.coalesce("before", F.lit(0)))
+    first = hits.lists.groupBy(*LIST_KEYS, "chunk_id").agg(F.min("rank").alias("evidence_no"))
+    lists = _entries(
+        with_chunks(first, corpus, facts).withColumn("route", F.lit("runbook")), LIST_KEYS)
+    pieces = asked.select(*LIST_KEYS, "before").distinct().join(lists, LIST_KEYS).select(
+        *LIST_KEYS, "before", F.size("items").alias("listed"), F.col("items.chunk_id").alias("list_ids"),
+        F.array_distinct("items.doc_id").alias("list_documents"),
+        F.array_join(_spelled(F.col("items"), F.col("before")), "\n\n").alias("list_text"))
+    empty = F.array().cast("array<string>")
+    joined = own.join(numbers, "query_id").select("query_id", "items", F.col("before").alias("own_before")).join(
+        asked.join(pieces, [*LIST_KEYS, "before"]), "query_id", "full").select(
+            "query_id", F.coalesce("own_before", "before").alias("before"), F.coalesce("listed", F.lit(0)).alias("listed"),
+            F.coalesce("list_ids", empty).alias("list_ids"), F.coalesce("list_documents", empty).alias("list_documents"),
+            "list_text", F.coalesce("items", F.array().cast(own.schema["items"].dataType)).alias("items"))
+    early, late = F.slice("items", F.lit(1), F.col("before")), F.slice(
+        "items", F.col("before") + 1, F.greatest(F.size("items") - F.col("before"), F.lit(0)))
+    texts = F.concat(
+        _spelled(early, F.lit(0)), F.array_compact(F.array("list_text")),
+        _spelled(late, F.col("before") + F.col("listed")))
+    return joined.select(
+        "query_id", F.concat(early["chunk_id"], "list_ids", late["chunk_id"]).alias("evidence_ids"),
+        F.array_sort(F.array_union("items.doc_id", "list_documents")).alias("document_ids"),
+        F.array_join(texts, "\n\n").alias("block"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +10,9 @@ from shiplens.functions.narrative import context_block
 from shiplens.operators import corpus as corpus_ops
 from shiplens.operators import gate, grounding, reteval, retrieval
 from shiplens.operators.chunking import chunk
-from shiplens.sources.scratch import materialise
+from shiplens.sources.ledger import CallLedger, Generator, call_of
+from shiplens.sources.scratch import materialise, new_path
 
-Generator = Callable[[Sequence[str]], Sequence[str | None]]
 # What the generator is told when no flag is raised, and what a row reads whose vendor
 # the corpus does not cover, around the vendor's name.
 NO_FLAG_NOTE = (
@@ -27,6 +24,14 @@ REFUSAL = (
     "No ", " evidence exists in the corpus. Documents about other vendors do not apply, and similarity "
     "is not relevance. Refer this deployment to an engineer familiar with the vendor.",
 )
+# What a judge is asked, before the context, the evidence and the explanation; it may be any text that
+# asks for this reply.
+JUDGE_PROMPT = (
+    "Check an explanation of a deployment's risk against the context and the evidence its writer had. "
+    "List each of its claims with a verdict: supported, if the context or a cited document says so; "
+    "unsupported, if neither does; not_a_claim, for a recommendation or a remark that evidence is missing. "
+    'Answer with JSON alone: {"claims": [{"claim": "...", "verdict": "..."}]}'
+)
 
 
 def build_corpus(
@@ -39,34 +44,20 @@ def build_corpus(
     return manifest.drop("text"), retrieval.prepare_chunks(chunk(manifest), embed)
 
 
-def generated(messages: DataFrame, generate: Generator, batch: int = 16) -> DataFrame:
-    """(query_id, message) -> (query_id, text): a null text is a failed call."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for i in range(0, len(frame), batch):
-                part = frame.iloc[i:i + batch]
-                yield pd.DataFrame({
-                    "query_id": part["query_id"].to_numpy(),
-                    "text": list(generate(part["message"].tolist())),
-                })
-
-    return messages.select("query_id", "message").mapInPandas(
-        run, "query_id string, text string")
-
-
 def explain(
     deployments: DataFrame, corpus: DataFrame, generate: Generator | None = None,
     config: gate.GateConfig = gate.GateConfig(), *, embed: Embedder = hashed_words,
     scored: bool = False, citation: str = grounding.CITATION, note: str = NO_FLAG_NOTE,
-    refusal_text: tuple[str, str] = REFUSAL,
+    refusal_text: tuple[str, str] = REFUSAL, ledger: CallLedger | None = None,
 ) -> DataFrame:
     """One row per deployment: verdict, context, evidence, text and checks.
 
-    Refused and doubtful rows get their reason as text and never reach the generator.
+    Refused and doubtful rows get their reason as text and never reach the generator, which
+    `generator_calls` shows: the calls that the ledger holds for a row's message. With a ledger of an
+    earlier run, what was answered then isn't asked again.
     """
-    hits = materialise(retrieval.retrieve(deployments, corpus, embed), "hits")
-    verdicts = gate.assess(deployments, hits, corpus, config)
+    hits = retrieval.route_all(deployments, corpus, embed).written()
+    verdicts = gate.assess(deployments, hits.direct, corpus, config)
     blocks = retrieval.evidence_blocks(hits, corpus)
     facts = deployments.select(
         F.col("deployment_id").alias("query_id"), "vendor_name", "active_flags",
@@ -80,22 +71,26 @@ def explain(
         .when(F.col("verdict") == "low_confidence", doubt))
     if generate is None:
         return rows
-    # Written first, so that a lost executor does not repeat calls upstream of this table.
-    rows = materialise(rows, "explanations")
+    spark = deployments.sparkSession
+    ledger = ledger or CallLedger(new_path(spark, "calls"), "writer")
     message = F.concat(
-        F.lit("UPCOMING DEPLOYMENT\n"), "context", F.lit("\n\nHISTORICAL EVIDENCE\n"), "block",
+        F.lit("UPCOMING DEPLOYMENT\n"), "context", F.lit("\n\nHISTORICAL EVIDENCE\n"), F.coalesce("block", F.lit("")),
         F.when(F.col("verdict") == "no_flag_evidence", F.lit(note)).otherwise(""))
-    asked = rows.where(F.col("text").isNull()).select("query_id", message.alias("message"))
-    answers = materialise(generated(asked, generate), "answers").withColumnRenamed(
-        "text", "answer")
-    done = rows.join(answers.withColumn("called", F.lit(True)), "query_id", "left").withColumns({
-        "generated": F.col("answer").isNotNull(),
-        "error": F.when(F.col("called") & F.col("answer").isNull(), "no text"),
-        "text": F.coalesce("text", "answer"),
-        "evidence": F.coalesce("block", F.lit("")),
-        "retrieved": F.coalesce("document_ids", F.array().cast("array<string>")),
-        "require_citation": F.col("verdict") != "no_flag_evidence",
-    }).drop("answer", "called")
+    # written first: the messages are read again by each wave of calls
+    rows = materialise(rows.withColumn("message", message), "explanations")
+    asked = rows.where(F.col("text").isNull()).select("query_id", "message", F.lit(0).alias("attempt"))
+    answers = ledger.answers(asked, generate).select("query_id", F.col("text").alias("answer"), F.lit(True).alias("called"))
+    made = ledger.calls(spark).groupBy("call").agg(F.count("*").alias("made"))
+    done = rows.withColumn("call", call_of(F.col("message"))).join(made, "call", "left").join(
+        answers, "query_id", "left").withColumns({
+            "generator_calls": F.coalesce("made", F.lit(0)),
+            "generated": F.col("answer").isNotNull(),
+            "error": F.when(F.col("called") & F.col("answer").isNull(), "no text"),
+            "text": F.coalesce("text", "answer"),
+            "evidence": F.coalesce("block", F.lit("")),
+            "retrieved": F.coalesce("document_ids", F.array().cast("array<string>")),
+            "require_citation": F.col("verdict") != "no_flag_evidence",
+        }).drop("answer", "called", "made", "call", "message")
     return grounding.grounding_checks(done, citation)
 
 
@@ -107,14 +102,74 @@ def evaluate(
     gold = materialise(reteval.gold_queries(manifest, history), "gold")
     cited = history.join(gold.select("deployment_id").distinct(), "deployment_id", "left_semi")
     graded = materialise(reteval.outcomes(
-        gold, retrieval.retrieve(cited, corpus, embed), corpus), "graded")
-    hits = materialise(retrieval.retrieve(upcoming, corpus, embed), "hits")
+        gold, retrieval.route_all(cited, corpus, embed), corpus), "graded")
+    hits = retrieval.route_all(upcoming, corpus, embed).written()
     controls = materialise(reteval.negative_controls(
         reteval.control_probes(manifest, upcoming), corpus, config, embed=embed), "controls")
     quality = reteval.evidence_quality(graded)
     return {
         "quality": quality, "routes": reteval.route_quality(graded),
         "coverage": reteval.route_coverage(upcoming, hits),
-        "verdicts": gate.assess(upcoming, hits, corpus, config), "controls": controls,
+        "verdicts": gate.assess(upcoming, hits.direct, corpus, config), "controls": controls,
         "gates": reteval.quality_gates(quality, controls),
     }
+
+
+def controls(
+    manifest: DataFrame, corpus: DataFrame, upcoming: DataFrame, generate: Generator,
+    config: gate.GateConfig = gate.GateConfig(), **options,
+) -> DataFrame:
+    """(probe, expected, verdict, reasons, generator_calls, passed): control probes sent through the whole
+    way to an explanation. One passes with the right verdict, for the right reason, and no call."""
+    probes = materialise(reteval.control_probes(manifest, upcoming), "probes")
+    rows = explain(probes.withColumn("deployment_id", F.col("probe")), corpus, generate, config, **options)
+    right = F.exists("reasons", lambda r: F.contains(r, F.col("reason")))
+    return probes.select("probe", "expected", "reason").join(
+        rows, probes["probe"] == rows["query_id"]
+    ).select("probe", "expected", "verdict", "reasons", "generator_calls", (
+        (F.col("verdict") == F.col("expected")) & right & (F.col("generator_calls") == 0)).alias("passed"))
+
+
+def judged(explained: DataFrame, judge: Generator, ledger: CallLedger, passes: int = 1) -> DataFrame:
+    """(query_id, pass, labelled, supported, unsupported, precision, faithful) of texts that were
+    generated, each judged `passes` times."""
+    message = F.concat(
+        F.lit(f"{JUDGE_PROMPT}\n\nDEPLOYMENT CONTEXT\n"), "context", F.lit("\n\nEVIDENCE\n"), "evidence",
+        F.lit("\n\nEXPLANATION\n"), "text")
+    asked = explained.where("generated").select(
+        "query_id", message.alias("message"), F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("attempt"))
+    replies = ledger.answers(asked, judge).select("query_id", F.col("attempt").alias("pass"), F.col("text").alias("reply"))
+    return grounding.faithfulness(grounding.claims(replies, ["query_id", "pass"]), ["query_id", "pass"])
+
+
+def generation_report(
+    manifest: DataFrame, corpus: DataFrame, upcoming: DataFrame, writer: Generator, folder: str,
+    judge: Generator | None = None, config: gate.GateConfig = gate.GateConfig(), **options,
+) -> dict[str, DataFrame]:
+    """A fixed set of probes explained, checked, judged and rated: tables `results`, `judged`, `gates`.
+
+    All calls go to ledgers under `folder`: a report that was broken off goes on where it stopped.
+    """
+    probes = materialise(reteval.probe_set(manifest, upcoming), "probes")
+    rows = probes.withColumnRenamed("vendor_name", "probed").join(upcoming, "deployment_id").withColumns({
+        "vendor_name": F.col("probed"),
+        "probe": F.concat_ws(" ", "kind", "probed", "deployment_id"),
+    })
+    asked = materialise(rows.withColumn("deployment_id", F.col("probe")), "asked")
+    explained = explain(asked, corpus, writer, config, ledger=CallLedger(folder, "writer"), **options)
+    kinds = asked.select(F.col("probe").alias("query_id"), (F.col("kind") != "ranked").alias("out_of_corpus"))
+    results = materialise(grounding.refusals(explained.join(kinds, "query_id")), "results")
+    out = {"results": results}
+    rates = None
+    if judge is not None:
+        out["judged"] = materialise(judged(results, judge, CallLedger(folder, "judge")), "judged")
+        rates = grounding.judge_rates(out["judged"])
+    return out | {"gates": grounding.generation_rates(results, rates)}
+
+
+def rejudged_report(results: DataFrame, judge: Generator, folder: str, passes: int = 3) -> dict[str, DataFrame]:
+    """The texts of a report judged again, several times and without a writer: tables `passes` with each
+    pass's rates, and `spread`, how far the judge moves on the same texts."""
+    found = materialise(judged(results, judge, CallLedger(folder, "rejudge"), passes), "rejudged")
+    rates = materialise(grounding.judge_rates(found, ["pass"]), "passes")
+    return {"judged": found, "passes": rates, "spread": grounding.judge_spread(rates)}

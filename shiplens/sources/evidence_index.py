@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import UTC, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+class PromotedMeanwhile(RuntimeError):
+    """Another writer took this step of the promotion log first."""
+
+
 class EvidenceIndex:
     """Chunk tables under `root`, one partition folder per version, and a promotion log.
 
@@ -41,8 +48,17 @@ class EvidenceIndex:
             return self.spark.createDataFrame([], "index_version string")
         return table.select("index_version").distinct()
 
+    def _log(self) -> DataFrame | None:
+        """(alias, index_version, number) of all promotions."""
+        try:
+            return self.spark.read.schema("alias string, index_version string, number long").json(f"{self.root}/promotions")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def current(self) -> str | None:
-        log = self._table("promotions")
+        log = self._log()
         if log is None:
             return None
         row = log.where(F.col("alias") == self.alias).agg(
@@ -52,20 +68,47 @@ class EvidenceIndex:
     def promote(self, version: str) -> str | None:
         """Points the alias at `version`; returns what it pointed at before.
 
-        Each promotion is a folder of its own, named by its number, that may not exist yet: of
-        two writers that take the same number one fails.
+        Each promotion is a file of its own, named by its step. It is written under another name and
+        then given its own, which the file system does at once and only if nobody has it: of two
+        writers that read the same log exactly one wins, and the other gets PromotedMeanwhile.
         """
         if not self.versions().where(F.col("index_version") == version).limit(1).count():
             raise ValueError(f"No version {version} to promote")
+        number = self._next_number()
         previous = self.current()
-        log = self._table("promotions")
-        number = 0 if log is None else log.agg(F.max("number")).first()[0] + 1
-        self.spark.createDataFrame(
-            [(self.alias, version, number)], "alias string, index_version string, number long"
-        ).coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.root}/promotions/step={number:012d}")
+        self._claim(number, version)
         return previous
 
+    def _next_number(self) -> int:
+        log = self._log()
+        last = None if log is None else log.agg(F.max("number")).first()[0]
+        return 0 if last is None else last + 1
+
+    def _claim(self, number: int, version: str) -> None:
+        jvm = self.spark._jvm
+        fs_of = jvm.org.apache.hadoop.fs
+        folder = f"{self.root}/promotions"
+        made, own = (fs_of.Path(f"{folder}/{n}") for n in (f".{uuid.uuid4().hex}", f"step-{number:012d}.json"))
+        conf = self.spark._jsc.hadoopConfiguration()
+        fs = made.getFileSystem(conf)
+        out = fs.create(made, False)
+        out.write(bytearray(json.dumps({"alias": self.alias, "index_version": version, "number": number}).encode()))
+        out.close()
+        try:
+            if fs.getScheme() == "file":  # its rename replaces; a link doesn't
+                at = [jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri()) for p in (own, made)]
+                jvm.java.nio.file.Files.createLink(*at)
+            else:
+                kept = self.spark.sparkContext._gateway.new_array(getattr(fs_of, "Options$Rename"), 1)
+                kept[0] = getattr(fs_of, "Options$Rename").NONE
+                fs_of.FileContext.getFileContext(made.toUri(), conf).rename(made, own, kept)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                raise PromotedMeanwhile(f"Step {number} of {self.alias} is taken") from error
+            raise
+        finally:
+            fs.delete(made, False)
+
     def build_and_promote(self, corpus: DataFrame, gates, stamp: str | None = None) -> str | None:
         """Promotes the new version only if every gate passes on what was written."""
         version = self.build(corpus, stamp)

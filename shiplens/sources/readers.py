@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,25 +44,33 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path) if path.endswith(".parquet") else read_csv(spark, path)
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, line) of every file that has a line, read on the executors: each task keeps one line of
+    each file it has a part of, and a file's parts are told apart by where they begin."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"))
+    return lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+
+
 def read_batch(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A mini-batch of files as one table, matched by column name.
 
-    Files with the same header share one scan, so the plan grows with the number of
-    distinct layouts, not of files. Files without any column are skipped.
+    Headers are found in one pass over all text files, and files with the same one share a scan, so
+    neither the driver's work nor the plan grows with the number of files. Parquet files are one scan,
+    whose columns Spark merges. Files without any column are skipped.
     """
-    layouts: dict[tuple, list[str]] = defaultdict(list)
-    for path in paths:
-        kind = "parquet" if path.endswith(".parquet") else "csv"
-        reader = spark.read.option("header", True)
-        columns = tuple(getattr(reader, kind)(path).columns)
-        if columns:
-            layouts[kind, columns].append(path)
-    if not layouts:
+    tables = [p for p in paths if p.endswith(".parquet")]
+    texts = [p for p in paths if not p.endswith(".parquet")]
+    layouts: dict[str, list[str]] = defaultdict(list)
+    if texts:  # a name and a line for each file, as the caller gave them
+        for row in first_lines(spark, texts).where(F.trim("line") != "").collect():
+            layouts[row["line"]].append(unquote(row["path"]))
+    parts = [read_csv(spark, sorted(files)) for _, files in sorted(layouts.items())]
+    if tables:
+        parts.append(spark.read.option("mergeSchema", True).parquet(*tables))
+    if not parts:
         raise ContractViolation("No file in the batch has any column")
-    parts = [
-        spark.read.parquet(*files) if kind == "parquet" else read_csv(spark, files)
-        for (kind, _), files in layouts.items()
-    ]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
@@ -92,11 +101,13 @@ def read_staged(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(filename, text) of every file in a folder. Markdown is read; the text of any other format
-    is null, which `unreadable_documents` reports."""
-    files = spark.read.format("binaryFile").load(folder)
+    is null, which `unreadable_documents` reports, and its content isn't loaded."""
     name = F.element_at(F.split("path", "/"), -1)
-    text = F.when(F.lower(name).endswith(".md"), F.col("content").cast("string"))
-    return files.select(name.alias("filename"), text.alias("text"))
+    markdown = F.lower(name).endswith(".md")
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.[mM][dD]").load(folder).select(
+        name.alias("filename"), F.col("content").cast("string").alias("text"))
+    others = spark.read.format("binaryFile").load(folder).where(~markdown)
+    return read.union(others.select(name, F.lit(None).cast("string")))
 
 
 def unreadable_documents(documents: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 import re
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -15,7 +17,8 @@ from shiplens.functions.embedding import hashed_words
 from shiplens.operators import chunking, corpus, gate, grounding, reteval, retrieval
 from shiplens.operators.topk import filtered_topk
 from shiplens.plans import evidence
-from shiplens.sources.evidence_index import EvidenceIndex
+from shiplens.sources.evidence_index import EvidenceIndex, PromotedMeanwhile
+from shiplens.sources.ledger import CallLedger
 
 OUTAGE = """# Gateway outage at the water plant
 
@@ -476,13 +479,40 @@ def test_a_seam_is_as_wide_as_the_longest_keyword():
 
 
 def test_evidence_blocks_keep_first_occurrence(spark, searchable):
-    hits = retrieval.retrieve(rows(spark, {}), searchable)
-    row = retrieval.evidence_blocks(hits.unionByName(hits.withColumn("route", F.lit("matrix"))),
-                                    searchable).first()
+    hits = retrieval.route_all(rows(spark, {}), searchable)
+    twice = retrieval.Routed(hits.direct.unionByName(hits.direct.withColumn("route", F.lit("matrix"))), hits.lists, hits.members)
+    row = retrieval.evidence_blocks(twice, searchable).first()
     assert len(row["evidence_ids"]) == len(set(row["evidence_ids"])) == 12
     assert row["block"].startswith("[Evidence 1] FG-DOC-31")
 
 
+def test_runbook_lists_are_kept_once_and_read_as_if_written_out(spark, searchable):
+    """Blocks, coverage and grades from the lists equal those of the rows; no plan pairs queries with runbooks."""
+    asked = rows(spark, *[{"deployment_id": f"A{i}"} for i in range(30)],
+                 {"deployment_id": "B", "device_type": "Switch"},
+                 {"deployment_id": "C", "active_flags": [], "transition_class": None, "cross_vendor_dependency_count": 0.0},
+                 {"deployment_id": "D", "vendor_name": "Acme", "active_flags": []})
+    hits = retrieval.route_all(asked, searchable).written()
+    assert hits.direct.where("route = 'runbook'").count() == 0 and hits.lists.count() < 10
+    facts = {r["chunk_id"]: r for r in searchable.collect()}
+    order = list(retrieval.ROUTE_LIMITS)
+    want: dict[str, dict] = {}
+    for r in sorted(hits.rows().collect(), key=lambda r: (r["query_id"], order.index(r["route"]), r["rank"])):
+        want.setdefault(r["query_id"], {}).setdefault(r["chunk_id"], r["route"])
+    got = {r["query_id"]: r for r in retrieval.evidence_blocks(hits, searchable).collect()}
+    assert set(got) == set(want) and "D" not in got
+    for q, found in want.items():
+        assert got[q]["evidence_ids"] == list(found)
+        assert got[q]["document_ids"] == sorted({facts[c]["doc_id"] for c in found})
+        assert got[q]["block"] == "\n\n".join(
+            f"[Evidence {n}] {facts[c]['doc_id']} ({facts[c]['document_type']}, {route})\n{facts[c]['text']}"
+            for n, (c, route) in enumerate(found.items(), 1))
+    few = hits.rows(spark.createDataFrame([("A3",)], "query_id string"))
+    assert {r["query_id"] for r in few.collect()} == {"A3"}
+    coverage = {r["route"]: r["coverage"] for r in reteval.route_coverage(asked, hits).collect()}
+    assert coverage["runbook"] == round(31 / 33, 4)
+
+
 def test_gold_and_quality(spark, records, searchable):
     history = rows(spark, *[{"deployment_id": f"DEP_00410{i}"} for i in (0, 3, 5)],
                    {"deployment_id": "DEP_004102", "vendor_name": "Siemens"},
@@ -491,7 +521,7 @@ def test_gold_and_quality(spark, records, searchable):
     pairs = {(r["doc_id"], r["deployment_id"]) for r in gold.collect()}
     assert ("FG-DOC-311", "DEP_004100") in pairs and ("FG-DOC-320", "DEP_004103") in pairs
     assert ("FG-DOC-314", "DEP_004102") not in pairs
-    graded = reteval.outcomes(gold, retrieval.retrieve(history, searchable), searchable)
+    graded = reteval.outcomes(gold, retrieval.route_all(history, searchable), searchable)
     quality = {(r["slice"], r["value"]): r for r in reteval.evidence_quality(graded).collect()}
     assert quality["all", "all"]["recall_at_5"] == 1.0 and 0 < quality["all", "all"]["mrr"] <= 1
     routes = {r["route"]: r for r in reteval.route_quality(graded).collect()}
@@ -524,6 +554,65 @@ def test_explain_never_generates_for_refused_rows(spark, searchable):
     assert got["N9"]["text"].startswith("Low confidence")
 
 
+def test_no_call_is_made_twice(spark, tmp_path):
+    """Equal messages are one call; what failed is asked again; waves that were written stay."""
+    ledger = CallLedger(str(tmp_path / "calls"), "m", wave=4, batch=3)
+    asked = spark.createDataFrame(
+        [(f"q{i}", f"message {i % 9}", i % 2) for i in range(30)] + [("none", None, 0)], "query_id string, message string, attempt int")
+
+    def some(messages):
+        return [None if m.endswith("3") else m.upper() for m in messages]
+
+    first = {(r["query_id"], r["attempt"]): r["text"] for r in ledger.answers(asked, some).collect()}
+    assert first["q1", 1] == "MESSAGE 1" and first["q3", 1] is None and first["none", 0] is None and len(first) == 31
+    assert ledger.calls(spark).count() == 18
+    assert spark.read.parquet(f"{tmp_path}/calls/m/*").select(F.input_file_name()).distinct().count() > 3
+
+    def only_failed(messages):
+        assert set(messages) == {"message 3"}
+        return ["now"] * len(messages)
+
+    again = {(r["query_id"], r["attempt"]): r["text"] for r in ledger.answers(asked, only_failed).collect()}
+    assert again["q3", 1] == "now" and ledger.calls(spark).count() == 20
+
+    def none(messages):
+        raise AssertionError("called")
+
+    assert {(r["query_id"], r["attempt"]): r["text"] for r in ledger.answers(asked, none).collect()} == again
+
+
+def test_a_report_goes_on_where_it_stopped(spark, records, searchable, tmp_path):
+    base = rows(spark, {"deployment_id": "N1"}, {"deployment_id": "N2"}, {"deployment_id": "N3", "vendor_name": "Acme"})
+    upcoming = base.withColumns({
+        "risk_probability": F.lit(0.5), "fleet_tier": F.lit("TIER_2"), "version_jump_magnitude": F.lit(7.0),
+        "maintenance_window": F.lit(0.0), "past_failure_count": F.lit(1.0)})
+
+    def writer(messages):
+        return ["As in [FG-DOC-311]."] * len(messages)
+
+    def judge(messages):
+        return ['{"claims": [{"claim": "a", "verdict": "supported"}]}'] * len(messages)
+
+    def none(messages):
+        raise AssertionError("called")
+
+    folder = str(tmp_path / "ledgers")
+    first = evidence.generation_report(records, searchable, upcoming, writer, folder, judge)
+    again = evidence.generation_report(records, searchable, upcoming, none, folder, none)
+    for name in ("results", "judged", "gates"):
+        assert sorted(map(str, first[name].collect())) == sorted(map(str, again[name].collect()))
+    kept = {r["query_id"]: r for r in first["results"].collect()}
+    assert {q: r["generator_calls"] for q, r in kept.items()} == {
+        "ranked Honeywell N1": 1, "ranked Honeywell N2": 1, "out_of_corpus Acme N3": 0, "synthetic OutOfCorpusVendor N1": 0}
+    gates = {r["gate"]: r["passed"] for r in first["gates"].collect()}
+    assert all(gates.values()) and "judge_claim_precision" in gates
+    more = evidence.rejudged_report(first["results"], judge, folder, 3)
+    assert more["passes"].count() == 3 and more["spread"].first()["precision_spread"] == 0.0
+    assert evidence.rejudged_report(first["results"], none, folder, 3)["passes"].count() == 3
+    controls = evidence.controls(records, searchable, upcoming, none).collect()
+    assert len(controls) == 3 and all(r["passed"] and r["generator_calls"] == 0 for r in controls)
+
+
 def checks(spark, text, flags=(), context="CVSS 7.9", texts="took 1,204 hours", required=True):
     df = spark.createDataFrame(
         [(text, context, texts, ["FG-DOC-001"], list(flags), required)],
@@ -598,6 +687,27 @@ def test_index_promotion_and_pruning(spark, searchable, tmp_path):
     assert four in {r[0] for r in index.versions().collect()}
 
 
+def test_of_two_promotions_at_one_step_one_wins(spark, searchable, tmp_path):
+    """Both read the log before either writes; what is published is whole or not there."""
+    indexes = [EvidenceIndex(spark, str(tmp_path / "index")) for _ in range(8)]
+    names = [indexes[0].build(searchable.limit(1), f"2026020{i}") for i in range(8)]
+    gate_ = threading.Barrier(len(indexes))
+
+    def one(index, name):
+        number = index._next_number()
+        gate_.wait()
+        try:
+            index._claim(number, name)
+            return name
+        except PromotedMeanwhile:
+            return None
+
+    with ThreadPoolExecutor(len(indexes)) as pool:
+        won = [w for w in pool.map(one, indexes, names) if w]
+    assert len(won) == 1 and indexes[0].current() == won[0]
+    assert indexes[0].promote(names[0]) == won[0] and indexes[1].current() == names[0]
+
+
 def test_embedder_vectors_are_unit_length():
     vectors = hashed_words(["Kernel kernel jump", "", "a b c"])
     assert np.linalg.norm(vectors, axis=1) == pytest.approx([1.0, 0.0, 1.0], abs=1e-6)
