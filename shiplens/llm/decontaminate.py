@@ -227,6 +227,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the documents that match a test item; rows without id stay."""
-    found = matches(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(found, id_col, "left_anti").select(docs.columns)
+    """`docs` without the rows whose text matches a test item. Every row is judged by its own text, by
+    its 64-bit hash: rows without id as well, and rows that share an id each for itself. An empty
+    benchmark or table takes nothing away; rows without text stay."""
+    of_text = F.xxhash64(F.col(text_col).cast("string"))
+    texts = docs.select(of_text.alias("doc_id"), F.col(text_col).alias("text"))
+    found = matches(texts, benchmark).select(F.col("doc_id").alias("_text")).distinct()
+    return docs.join(found, of_text == F.col("_text"), "left_anti").select(docs.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from html import escape
 
 import duckdb
@@ -27,7 +28,7 @@ def collected(df):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_restatement(spark, name):
     con = duckdb.connect()
-    for table in ("pages", "embeddings"):
+    for table in ("pages", "embeddings", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = entry.queries()[name](spark, SF)
     cursor = con.execute(entry.oracle_sql()[name])
@@ -121,6 +122,16 @@ def page(blocks, before="", after="", article="article"):
 
 
 FRAME = '<nav><ul><li><a href="/x">Menu</a></li></ul></nav><!-- ad --><div class="ad">Buy <p>now</p></div>'
+@pytest.mark.parametrize("unit", ['<a "', "<a ", "<a", "<!", "</a", "<div>", "<nav><article>", '<a \'"', "<div></b>", "<p>"])
+def test_open_markup_takes_linear_time(unit):
+    seconds = []
+    for n in (60_000, 480_000):
+        start = time.perf_counter()
+        html_text.parse(unit * (n // len(unit)))
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 20 * seconds[0] + 1
+
+
 PAGES = [
     (None, ""), ("", ""), ("plain text", "plain text"), ("<p>open <b>bold<br>line<p>next", "open bold line\n\nnext"),
     (page(["one &amp; two", " a \n\t b&nbsp;c ", "", "x &lt; y"], FRAME, "<footer>&copy; F</footer>"),
@@ -252,6 +263,18 @@ def test_leaks_are_found_and_nothing_else(spark):
     }
 
 
+def test_rows_are_cleaned_by_their_own_text(spark):
+    """A leak without id goes; of rows that share an id only the leak goes; nothing else does."""
+    items, rows, leaks = leak_corpus()
+    leak, fine = next(t for d, t in rows if d in leaks), next(t for d, t in rows if d not in leaks and t)
+    mixed = [(None, leak), (None, fine), (None, None), (None, ""), (5, leak), (5, fine), (5, fine), (6, leak)]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, mixed)
+    kept = sorted(((r["doc_id"], r["text"]) for r in decontaminate.clean(docs, tests).collect()), key=repr)
+    assert kept == sorted([(None, fine), (None, None), (None, ""), (5, fine), (5, fine)], key=repr)
+    assert decontaminate.clean(docs, tests.limit(0)).count() == 8 and decontaminate.clean(docs.limit(0), tests).count() == 0
+
+
 def test_copies_that_keep_few_seeds_are_found(spark):
     rng = random.Random(8)
     items = [[f"{name}{i}" for i in range(30)] for name in "pqrs"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -61,6 +62,20 @@ def test_repeats_equal_brute_force(spark, seed):
     assert any(r[2] for r in got)
 
 
+def test_texts_of_one_id_and_of_none_are_told_apart(spark):
+    """Two texts with one id whose 32-bit hashes are equal, and many texts without id."""
+    passage = words(random.Random(3), 60)[:230]
+    made = spark.range(300_000).select(F.concat(F.lit(passage + " x"), "id").alias("t")).withColumn("h", F.hash("t"))
+    pair = made.groupBy("h").agg(F.collect_list("t").alias("t")).where(F.size("t") > 1).first()["t"][:2]
+    for i in (7, None):
+        got = collected(run_index.digest(run_index.remove_repeats(documents(spark, [(i, pair[0]), (i, pair[1]), (i, "short")]))))
+        assert sorted(r[2] for r in got) == [0, 0, max(230, *(r[2] for r in got))] and len(got) == 3
+    rng = random.Random(4)
+    rows = [(None, words(rng, 30) + f" {passage} " + words(rng, 30)) for _ in range(300)]
+    got = collected(run_index.digest(run_index.remove_repeats(documents(spark, rows))))
+    assert sorted(r[2] >= 230 for r in got) == [False] + [True] * 299 and sum(r[1] for r in got) == sum(len(t) for _, t in rows)
+
+
 def test_repeats_of_frequent_anchors_and_many_chunks(spark, monkeypatch):
     rows = corpus(3, 120)
     monkeypatch.setattr(run_index, "FREQUENT", 2)
@@ -191,6 +206,45 @@ def test_round_trip_equals_library(spark, library):
     assert ids[3] == library.encode("a  b", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    "".join(random.Random(1).choice("thein") for _ in range(200_000)), "a" * 100_000, "日本語" * 20_000,
+    "".join(random.Random(2).choice("abcdefgh") for _ in range(513)), "ab" * 256, "ab" * 257,
+])
+def test_words_of_any_length(library, text):
+    ids, _ = bpe.Encoder(segments.vocabulary(queries.vocabulary_file())).ids([text])
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_words_equal_the_rank_arrays(monkeypatch):
+    vocab, rng = segments.vocabulary(queries.vocabulary_file()), random.Random(5)
+    made = ["".join(rng.choice("abtheinor é") for _ in range(rng.randrange(1, 60))).encode() for _ in range(300)]
+    short = bpe.encode_words(vocab, made)
+    monkeypatch.setattr(bpe, "LONG", 7)
+    long = bpe.encode_words(vocab, made)
+    for k in range(len(made)):
+        one, two = (x[0][x[1][k] : x[1][k] + x[2][k]].tolist() for x in (short, long))
+        assert one == two
+
+
+def test_time_is_linear_in_one_word():
+    encoder = bpe.Encoder(segments.vocabulary(queries.vocabulary_file()))
+    seconds = []
+    for n in (125_000, 1_000_000):
+        text = "".join(random.Random(n).choice("abcdefgh") for _ in range(n))
+        start = time.perf_counter()
+        encoder.ids([text])
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 24 * seconds[0] + 1
+
+
+def test_segments_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(segments, "KEPT_BYTES", 10_000)
+    own = bpe.Encoder(segments.vocabulary(queries.vocabulary_file()))
+    for i in range(50):
+        own.ids([f"{i}" + "x" * 1000])
+        assert own.bytes < 30_000 and len(own.number) < 10
+
+
 def test_segments_start_anew_when_full(library, monkeypatch):
     monkeypatch.setattr(segments, "KEPT", 3)
     own = bpe.Encoder(segments.vocabulary(queries.vocabulary_file()))
