@@ -12,7 +12,7 @@ from shiplens.operators import features as ft
 from shiplens.operators import fleet, metrics, models, prep, profile, runs, scoring, splits
 from shiplens.operators.contract import DEPLOYMENTS as C
 from shiplens.operators.prefix import exact_quantiles
-from shiplens.sources.scratch import materialise
+from shiplens.sources.scratch import materialise, new_path
 
 DAY = "yyyy-MM-dd"
 R9 = 9
@@ -223,6 +223,18 @@ def calibration_slice(spark, sf):
     return df.agg(F.count_if(~held).alias("fit_rows"), F.count_if(held).alias("held_rows"))
 
 
+@query("model_input_columns", f"""
+WITH {S.FEATURES}
+{' UNION ALL '.join(
+    f"SELECT '{c}' AS " + '"column"' + f", count({c}) AS present FROM feat"
+    for c in ("deployment_id", *S.CATEGORICAL, *S.NUMERIC, *S.DERIVED))}""")
+def model_input_columns(spark, sf):
+    """What a model may see: the key and the features, and nothing that is known only afterwards."""
+    inputs = ft.model_inputs(_featured(spark, sf))
+    counts = inputs.agg(*[F.count(c).alias(c) for c in inputs.columns])
+    return counts.unpivot([], inputs.columns, "column", "present")
+
+
 # --- preprocessing -------------------------------------------------------------------
 
 _TRAIN = f"""
@@ -308,7 +320,19 @@ FROM test_long LEFT JOIN levels ON levels.block = test_long.block
 def one_hot_matrix(spark, sf):
     """Where the ones of each encoded row stand."""
     train, test = _split(spark, sf)
-    fitted = prep.fit(train)
+    return _places(prep.fit(train), test)
+
+
+@query("fitted_state", ORACLES["one_hot_matrix"])
+def fitted_state(spark, sf):
+    """The same from a fitted state that was written and read back."""
+    train, test = _split(spark, sf)
+    path = new_path(spark, "state")
+    prep.fit(train).to_table(spark).write.json(path)
+    return _places(prep.Preprocessor.from_table(spark.read.json(path)), test)
+
+
+def _places(fitted, test):
     n = len(fitted.numeric)
     encoded = F.slice(vector_to_array("features"), n + 1, fitted.width - n)
     marked = F.transform(encoded, lambda x, i: F.when(x == 1.0, i.cast("string")))

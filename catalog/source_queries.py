@@ -47,6 +47,18 @@ def read_csv_feed(spark, sf):
     return _feed_counts(readers.read_csv(spark, _written_feed(spark, sf)))
 
 
+@query("read_json_object", """
+SELECT count(*) AS orders, round(sum(o_totalprice), 2) AS total, max(o_orderkey)::VARCHAR AS last_order FROM orders""")
+def read_json_object(spark, sf):
+    """A summary of the orders as one JSON object over several lines."""
+    path = new_path(spark, "object")
+    summary = table(spark, sf, "orders").agg(
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"),
+        F.struct(F.max("o_orderkey").cast("string").alias("key")).alias("last"))
+    summary.select(F.to_json(F.struct("*"), {"pretty": "true"})).coalesce(1).write.text(path)
+    return readers.read_json_object(spark, path).select("orders", F.round("total", 2).alias("total"), F.col("last.key").alias("last_order"))
+
+
 @query("read_mixed_batch", _FEED_COUNTS.replace("count(*) AS rows", "2 * count(*) AS rows")
        .replace("count(*) FILTER", "2 * count(*) FILTER"))
 def read_mixed_batch(spark, sf):

@@ -8,6 +8,7 @@ A strategy that finds none of its structure returns the document as one `whole`
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,11 +19,12 @@ from shiplens.functions.values import is_blank, strip, token_estimate
 
 SEPARATOR = rf"^[{WS}]*-{{3,}}[{WS}]*\z"
 ITALIC = rf"(?s)^[{WS}]*([*_])[^*_].*\1[{WS}]*\z"
-# How the footers a page repeats begin.
+# How the footers a page repeats begin, and what follows a product's name in one.
 PAGE_FOOTER = (
-    r"^(\w+ AI RAG Knowledge Base|Source: \d+ historical|Do not reference this document|"
+    r"^(Source: \d+ historical|Do not reference this document|"
     r"Policy informed by|Vectorless retrieval target)"
 )
+PRODUCT_FOOTER = " AI RAG Knowledge Base"
 STEP = rf"^[{WS}]*(\d+)\.[{WS}]+"
 TABLE_ROW = rf"^[{WS}]*\|"
 TABLE_RULE = rf"^[{WS}]*\|[{WS}:|-]+\|[{WS}]*\z"
@@ -38,6 +40,13 @@ HEADED = ("Postmortem", "Transition", "CrossVendor")
 CHUNKS = "array<struct<kind:string,text:string>>"
 
 
+def page_footer(product: str | None = None) -> str:
+    """The pattern of page footers; with `product`, the lines that begin with its name are among them."""
+    if product is None:
+        return PAGE_FOOTER
+    return f"{PAGE_FOOTER}|^{re.escape(product + PRODUCT_FOOTER)}"
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it by name inside `body`."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -34,6 +34,8 @@ class CorpusContract:
     deployment_ref: str = r"\bDEP_\d+"
     valid_deployment_ref: str = r"^DEP_\d{6}$"
     upcoming_ref: str = r"\bUPC_\d+"
+    #: The product whose name begins a page's footer; without one no such line is taken for a footer.
+    product: str | None = None
 
     @property
     def type_names(self) -> list[str]:

@@ -9,7 +9,7 @@ from shiplens.functions.embedding import Embedder, hashed_words
 from shiplens.functions.narrative import context_block
 from shiplens.operators import corpus as corpus_ops
 from shiplens.operators import gate, grounding, reteval, retrieval
-from shiplens.operators.chunking import chunk
+from shiplens.operators.chunking import chunk, page_footer
 from shiplens.sources.ledger import CallLedger, Generator, call_of
 from shiplens.sources.scratch import materialise, new_path
 
@@ -41,7 +41,8 @@ def build_corpus(
     """(manifest without texts, searchable chunks) of a (filename, text) table."""
     read = documents.where(F.col("text").isNotNull()).repartition("filename")
     manifest = materialise(corpus_ops.manifest(read, contract), "manifest")
-    return manifest.drop("text"), retrieval.prepare_chunks(chunk(manifest), embed)
+    return manifest.drop("text"), retrieval.prepare_chunks(
+        chunk(manifest, footer=page_footer(contract.product)), embed)
 
 
 def explain(

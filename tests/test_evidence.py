@@ -414,6 +414,16 @@ def test_a_document_id_that_stands_twice_multiplies_nothing(spark):
         ("Cisco", "HMI", "# B\nsecond"), ("Honeywell", "RTU", "# A\nfirst")]
 
 
+def test_a_footer_is_the_named_product_s(spark):
+    """Lines that begin with another product's name are text."""
+    text = "# A\nfirst\nAcme AI RAG Knowledge Base\nOther AI RAG Knowledge Base\nSource: 12 historical rows"
+    files = spark.createDataFrame([("Advisory_Cisco_HMI_FG-DOC-311.md", text)], "filename string, text string")
+    for product, kept in ((None, ["Acme", "Other"]), ("Acme", ["Other"]), ("A.m", ["Acme", "Other"])):
+        _, chunks = evidence.build_corpus(files, corpus.CorpusContract(product=product))
+        said = "\n".join(r["text"] for r in chunks.collect())
+        assert [w for w in ("Acme", "Other") if w in said] == kept and "Source" not in said
+
+
 def routed(spark, searchable, **change):
     out: dict[str, list] = {}
     for r in retrieval.retrieve(rows(spark, change), searchable).orderBy("route", "rank").collect():
