@@ -48,7 +48,7 @@ PATTERNS, PHRASES = 4096, 4096
 #: Pairs of clean documents' neighbours that a phrase needs.
 PHRASE_DOCUMENTS = 3
 #: Powers of the number of words that are tried, and the pull of the curve's steepness towards 0.
-POWERS, RIDGE = (0.0, 0.25, 0.5, 0.75, 1.0), 1e-3
+POWERS, RIDGE = (0.0, 0.25, 0.5, 0.75, 1.0), 1e-4
 #: Score from which a document is predicted toxic.
 TOXIC = 0.7
 #: Exception phrases known beforehand.
@@ -153,7 +153,7 @@ def curve(sums: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> tuple[floa
     share = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     for power in POWERS:
         x = sums / np.maximum(counts, 1) ** power
-        scale = max(float(np.abs(x).max(initial=0)), 1e-9)
+        scale = float(np.median(x[x > 0])) if (x > 0).any() else 1.0  # a usual match is 1
         a = np.stack([np.ones(len(x)), x / scale], 1)
         beta, pull = np.zeros(2), np.array([1e-6, RIDGE])
         for _ in range(50):
