@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +160,13 @@ def test_few_repeated_or_missing_keys(spark, ids, want):
     tagged = ct.with_reasons(frame(spark, rows), C)
     assert [r["deployment_id"] for r in tagged.where(F.array_contains("reasons", "duplicate_key")).collect()] == want
     assert tagged.count() == len(ids)
+
+
+def test_the_join_carries_reasons_and_not_what_rules_read(spark):
+    df = spark.createDataFrame([("a", "SUCCESS", "soon", "1", "x" * 50)], "deployment_id string, deployment_outcome string, deployment_date string, uptime_days string, extra string")
+    fed = df.select("*", *[F.lit("1").alias(c) for c in C.columns if c not in df.columns])
+    plan = ct.with_reasons(fed, C).select("reasons")._jdf.queryExecution().optimizedPlan().toString()
+    top, left = plan.splitlines()[1:3]
+    assert re.search(r"Join LeftOuter, .*_mine#\d+ = _deal#\d+", top)
+    assert "_rules" in plan.splitlines()[0] and not re.search(r"(\[|, )deployment_outcome#\d+[,\]]", left)
+    assert [r["reasons"] for r in ct.with_reasons(fed, C).collect()] == [["unparseable_date"]]
