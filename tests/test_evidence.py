@@ -6,6 +6,7 @@ import random
 import re
 import threading
 import time
+import tracemalloc
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from shiplens.functions import flags as fl
 from shiplens.functions.embedding import hashed_words
 from shiplens.operators import chunking, corpus, gate, grounding, reteval, retrieval
-from shiplens.operators.topk import filtered_topk
+from shiplens.operators.topk import best_of, filtered_topk
 from shiplens.plans import evidence
 from shiplens.sources.evidence_index import EvidenceIndex, PromotedMeanwhile
 from shiplens.sources.ledger import CallLedger
@@ -338,6 +339,31 @@ def test_topk_agrees_with_brute_force_however_it_is_cut(spark):
     assert got(items_per_block=30, queries_per_block=9) == got(items_per_block=7, queries_per_block=50) == want
 
 
+def test_topk_of_equal_items_stays_small():
+    """Ties name every cell of a product; they are scored a few thousand at a time."""
+    items = np.zeros((20_000, 256), np.float32)
+    items[:, 0] = 1.0
+    tracemalloc.start()
+    rows, cols, found, rank = best_of(np.eye(256)[:40] * 1.0, items, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(cols) == [0, 1, 2] * 40 and list(found[:3]) == [1.0] * 3 and not found[3:].any()
+    assert peak < 400_000_000
+
+
+def test_topk_sends_no_table_that_grows_with_the_queries(spark, tmp_path):
+    """Equal vectors make files far smaller than their rows, so sizes of files said to broadcast them."""
+    rows = spark.range(300).select(
+        F.col("id").cast("string").alias("query_id"), F.lit("s").alias("slot"), F.lit(2).alias("k"),
+        F.array(*[F.lit(0.5).cast("float")] * 4).alias("vector"))
+    rows.write.parquet(f"{tmp_path}/q")
+    queries = spark.read.parquet(f"{tmp_path}/q")
+    plan = filtered_topk(queries, queries.withColumnRenamed("query_id", "item_id"))._jdf.queryExecution().executedPlan().toString()
+    sent = plan.split("BroadcastExchange")[1:]
+    assert sent and all("vector" not in x.split("Scan parquet")[1].splitlines()[0].split("PushedFilters")[0]
+                        and "query_id" not in x.split("Scan parquet")[1].splitlines()[0] for x in sent)
+
+
 RECORDS = [
     ("FG-DOC-311", "Postmortem", ["Honeywell"], "RTU", None, None, ["DEP_004100"]),
     ("FG-DOC-312", "Advisory", ["Honeywell"], "RTU", None, None, []),
