@@ -522,6 +522,13 @@ def test_evidence_blocks_keep_first_occurrence(spark, searchable):
     assert row["block"].startswith("[Evidence 1] FG-DOC-31")
 
 
+def test_what_holds_a_runbook_list_is_not_shuffled_again(spark, searchable):
+    hits = retrieval.route_all(rows(spark, {"deployment_id": "A"}), searchable).written()
+    plan = retrieval.evidence_blocks(hits, searchable)._jdf.queryExecution().optimizedPlan().toString()
+    first = next(line for line in plan.splitlines() if "Join" in line)
+    assert "LeftOuter" in first and "list_key" in first
+
+
 def test_runbook_lists_are_kept_once_and_read_as_if_written_out(spark, searchable):
     """Blocks, coverage and grades from the lists equal those of the rows; no plan pairs queries with runbooks."""
     asked = rows(spark, *[{"deployment_id": f"A{i}"} for i in range(30)],
