@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from shiplens.functions import flags as fl
 from shiplens.functions.embedding import hashed_words
-from shiplens.operators import chunking, corpus, gate, grounding, reteval, retrieval
+from shiplens.operators import chunking, corpus, gate, grounding, reteval, retrieval, topk
 from shiplens.operators.topk import best_of, filtered_topk
 from shiplens.plans import evidence
 from shiplens.sources.evidence_index import EvidenceIndex, PromotedMeanwhile
 from shiplens.sources.ledger import CallLedger
+from shiplens.sources.scratch import materialise
 
 OUTAGE = """# Gateway outage at the water plant
 
@@ -364,6 +365,35 @@ def test_topk_sends_no_table_that_grows_with_the_queries(spark, tmp_path):
                         and "query_id" not in x.split("Scan parquet")[1].splitlines()[0] for x in sent)
 
 
+def test_topk_sends_no_row_once_for_every_block(spark, monkeypatch):
+    """Small blocks are products of a task, not rows sent: 400 blocks a side met in 160,000 groups."""
+    kept = []
+    monkeypatch.setattr(topk, "materialise", lambda df, name: kept.append(materialise(df, name)) or kept[-1])
+    rng = np.random.default_rng(1)
+    vectors = np.repeat(unit(rng, 40), 10, axis=0)  # ten copies of each
+    items = spark.createDataFrame([("s", f"i{n:03d}", v.tolist()) for n, v in enumerate(vectors)],
+                                  "slot string, item_id string, vector array<float>")
+    queries = items.select(F.col("item_id").alias("query_id"), "slot", F.lit(3).alias("k"), "vector")
+    got = {}
+    for r in filtered_topk(queries, items, items_per_block=1, queries_per_block=1).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["item_id"]
+    assert got == {f"i{n:03d}": {r + 1: f"i{n // 10 * 10 + r:03d}" for r in range(3)} for n in range(400)}
+    assert max(kept[0].drop("slot").first()) <= 8
+
+
+def test_best_of_agrees_with_brute_force_on_ties_in_any_blocks():
+    rng = np.random.default_rng(2)
+    items, queries = (rng.integers(0, 2, (n, 5)) / 2.0 for n in (300, 70))
+    scores = np.round(queries @ items.T, 6)
+    for k in (1, 4, 299, 400):
+        want = [(q, i, r + 1) for q in range(70) for r, i in enumerate(np.lexsort((np.arange(300), -scores[q]))[:k])]
+        for blocks in ((1, 1), (7, 11), (20_000, 5_000)):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(topk, "CELLS_PER_PRODUCT", 100)
+                rows, cols, found, rank = best_of(queries, items.astype(np.float32), k, *blocks)
+            assert list(zip(rows, cols, rank)) == want and (found == scores[rows, cols]).all()
+
+
 RECORDS = [
     ("FG-DOC-311", "Postmortem", ["Honeywell"], "RTU", None, None, ["DEP_004100"]),
     ("FG-DOC-312", "Advisory", ["Honeywell"], "RTU", None, None, []),
