@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import evidence_queries
 from shiplens.functions import flags as fl
 from shiplens.functions.embedding import hashed_words
 from shiplens.operators import chunking, corpus, gate, grounding, reteval, retrieval, topk
@@ -611,6 +612,50 @@ def test_report_and_controls(spark, records, searchable):
     assert coverage["evidence"] == pytest.approx(2 / 3, abs=1e-3) and coverage["policy"] == 1.0
 
 
+def test_controls_work_their_probes_out_once(spark, records, searchable):
+    """Probes are read three times; what makes them sums up all orders' lines."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        made.add(1)
+        return x
+
+    upcoming = rows(spark, {"deployment_id": "N1"}, {"deployment_id": "N3", "vendor_name": "Acme"})
+    probes = materialise(reteval.control_probes(records, upcoming)).withColumn("vendor_name", counted("vendor_name"))
+    assert all(r["passed"] for r in reteval.negative_controls(probes, searchable).collect())
+    assert made.value == probes.count() == 3
+
+
+def test_queries_sum_up_the_lines_once(spark, monkeypatch, tmp_path):
+    """Deployments are written before the steps that read them, which else join all orders and lines anew."""
+    for name, columns in {
+        "orders": "id AS o_orderkey, id % 9 AS o_custkey, 'F' AS o_orderstatus, '1-URGENT' AS o_orderpriority,"
+                  " timestamp'2024-01-01' AS o_orderdate",
+        "customer": "id AS c_custkey, id % 3 AS c_nationkey, 'BUILDING' AS c_mktsegment",
+        "part": "id AS p_partkey, 'ECONOMY' AS p_type, 'b' AS p_brand, 1 AS p_size",
+        "lineitem": "id AS l_orderkey, 1 AS l_linenumber, id % 5 AS l_partkey, 2.0D AS l_quantity, 0.1D AS l_tax,"
+                    " 'R' AS l_returnflag, 0.1D AS l_discount",
+        "documents": "id AS doc_id, 'kernel_touched words' AS text",
+    }.items():
+        spark.range(60).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    sent, write = [], materialise
+
+    def reads_lines(df):
+        return "l_orderkey" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    def kept(df, name="table"):
+        sent.append((name, reads_lines(df)))
+        return write(df, name)
+
+    for module in (evidence_queries, reteval, retrieval):
+        monkeypatch.setattr(module, "materialise", kept)
+    for query in ("quality_gates", "route_quality"):
+        sent.clear()
+        made = getattr(evidence_queries, query)(spark, str(tmp_path))
+        assert [name for name, reads in sent if reads] == ["history"] and not reads_lines(made)
+
+
 def test_explain_never_generates_for_refused_rows(spark, searchable):
     def generate(messages):
         assert all("Vendor: Honeywell" in m for m in messages)
