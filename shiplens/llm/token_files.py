@@ -133,6 +133,7 @@ def _segments(spec: bytes) -> Segments:
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(spec.decode())
+    library.model._resize_cache(0)  # pieces come once each, so what it keeps of them is not met again
 
     def encode(text: str) -> np.ndarray:
         return np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
@@ -168,8 +169,8 @@ def write(docs: DataFrame, spec: bytes, path: str, end_id: int,
             return batch_of(schema, **row)
 
         size = 0
-        for part in slices(batches, "text"):
-            ids, counts = own.ids(part.column("text").to_pylist())
+        for part in slices(batches, "text", rows=4096, size=4 << 20):
+            ids, counts = own.ids(part.column("text"))
             closed = np.full(len(ids) + len(counts), end_id, np.int64)
             closed[ranges(np.cumsum(counts + 1) - counts - 1, counts)] = ids
             held.append((part.column("doc").to_pylist(), closed, counts + 1))

@@ -253,6 +253,39 @@ def test_segments_start_anew_when_full(library, monkeypatch):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_segments_in_use_stay_when_the_store_is_full(library, monkeypatch):
+    monkeypatch.setattr(segments, "KEPT", 40)
+    asked = []
+
+    def encode(text):
+        asked.append(text)
+        return np.array(library.encode(text, add_special_tokens=False).ids, np.int64)
+
+    own = segments.Segments(segments.vocabulary(queries.vocabulary_file()), encode)
+    for i in range(30):
+        text = "so the cat, " + " ".join(f"the w{chr(97 + i % 26)}{chr(97 + k)}{i}" for k in range(20))
+        assert own.ids([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.number) < 100
+    assert sum(text.split().count("the") for text in asked) == 1
+
+
+def test_cuts_by_marks_and_line_ends(library):
+    own, rng = token_files._segments(queries.vocabulary_file()), random.Random(4)
+    parts = [
+        "a", "The", "é", "ß", "×", "÷", "'s", "'re", "'", "_", ",", ".\n", "\n", "\n\n", "\r\n", "\t", " ", "  ", "\u3000", "\u0301",
+        "日本", "«", "…", "3.5", "<|endoftext|>", "<|", "\x85", "\xa0", "\x00", "don't", "É\nx", " \n", "ɐ", "Ж", "٣", " (x)", "²",
+    ]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(3000)]
+    ids, counts = own.ids(texts)
+    ends = np.cumsum(counts).tolist()
+    for text, end, n in zip(texts, ends, counts.tolist()):
+        assert ids[end - n : end].tolist() == library.encode(text, add_special_tokens=False).ids
+    # a word has one number whatever mark follows it
+    first = set(own.number)
+    own.ids(["Ab zyqx, zyqx. zyqx; zyqx\nAb! Ab"])
+    assert set(own.number) - first <= {"Ab", " zyqx", ".", ";", "!", " Ab", ",", "\n"}
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1023, 1024, 1025, 5000])
 def test_simple8b_round_trip(n):
     rng = np.random.default_rng(n)
