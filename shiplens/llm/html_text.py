@@ -1,15 +1,17 @@
 """Main text of web pages by structure and a host's suffix arrays.
 
 A page's markup is cut into text blocks. Blocks in menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and comments go by their place. Where a page marks its article, the
-article's other blocks are the text. Where it marks none, runs of tokens that stand on several
-distinct pages of its host are taken as boilerplate: blocks lose the covered tokens and keep their
-unique runs.
-
-Pages are parsed where they lie, once. The token streams of a chunk's pages are concatenated and
-their suffixes sorted, which gives the chunk's distinct runs with the pages that hold them; counts
-are summed over all chunks, so a host's pages are judged together however they are dealt out. Pages
-of hosts that mark an article everywhere send no runs.
+adverts, forms, scripts, styles and comments go by their place. The words of all other blocks, of
+every page, go through the suffix arrays, which tell the runs that stand on several distinct pages of
+the host. Where a page marks no article, those runs are taken as boilerplate: blocks lose the covered
+words and keep their unique runs. Where it marks one, its blocks are the text, whole: an article keeps
+its own repeats, so there the runs are counted and not removed.
+
+Pages are parsed once and dealt into parts. The word streams of a part's pages are concatenated and
+their suffixes sorted, which gives the part's distinct runs with the pages that hold them; counts are
+summed over all parts, so a host's pages are judged together however they are dealt out. So that few
+runs travel, a part first sends its anchors, the least 4-word hash of each run: a run can't stand on
+more pages than its anchor does, so only runs whose anchor stands on enough pages follow.
 
 Defined results: null or empty html, or markup without text, gives the empty text; a null or odd
 url has the empty host; rows are judged as they stand, so repeated rows give repeated results;
@@ -28,10 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.llm.rows import batch_of, slices, text_bytes
+from shiplens.llm.rows import ranges, slices, text_bytes
 from shiplens.llm.url_rules import host_and_path
 from shiplens.llm.words import grams, mix, words
-from shiplens.sources.scratch import materialise
 
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 SPECIAL, NAME_END, CLOSE = re.compile("[>\"']"), re.compile(r"[\s/>]"), re.compile(">")
@@ -66,10 +67,12 @@ HINTS = frozenset((
     "promoted", "reactions", "related", "replies", "search", "share", "sharing", "sidebar", "signup",
     "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets",
 ))
-#: Tokens of a run that counts as long, distinct pages it must stand on, and the bounds of a chunk.
+#: Tokens of a run that counts as long, distinct pages it must stand on, and the usual size of a part.
 RUN, PAGES, CHUNK_PAGES, CHUNK_BYTES = 8, 3, 512, 4 << 20
-#: Slots of the table that tells which hosts have pages without an article.
-SLOTS = 1 << 20
+#: Tokens of an anchor, and the leading bytes of its hash that are sent.
+ANCHOR, ANCHOR_BYTES = 4, 5
+#: Buckets by leading bits that hashes are summed in: at least, and for so many parts one more.
+BUCKETS, PARTS_A_BUCKET = 32, 32
 
 
 @dataclass
@@ -263,131 +266,222 @@ def repeated_tokens(streams: list[np.ndarray]) -> list[np.ndarray]:
     return [covered[e - s - 1 : e - 1] for e, s in zip(ends, sizes)]
 
 
-def distinct_runs(streams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct runs of RUN tokens of streams of hashes, and how many streams hold each."""
-    streams = [s for s in streams if len(s) >= RUN]
-    if not streams:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = np.array([len(s) for s in streams])
-    flat = np.concatenate(streams)
+def _least_grams(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stream and the anchor of each whole run of streams that lie end to end, in order."""
+    room = np.maximum(sizes - RUN + 1, 0)
+    if not room.sum():
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = ranges(np.cumsum(sizes) - sizes, room)
+    parts = grams(flat, np.array([len(flat)]), ANCHOR)[0]
+    least = parts[at]
+    for k in range(1, RUN - ANCHOR + 1):
+        least = np.minimum(least, parts[at + k])
+    return np.repeat(np.arange(len(sizes)), room), least & np.uint64((1 << 64) - (1 << 64 - 8 * ANCHOR_BYTES))
+
+
+def distinct_anchors(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct anchors of the streams, ascending, and how many streams hold each."""
+    stream, least = _least_grams(flat, sizes)
+    new = np.ones(len(least), bool)
+    new[1:] = (least[1:] != least[:-1]) | (stream[1:] != stream[:-1])
+    stream, least = stream[new], least[new]
+    order = np.lexsort((stream, least))
+    stream, least = stream[order], least[order]
+    new = np.ones(len(least), bool)
+    new[1:] = (least[1:] != least[:-1]) | (stream[1:] != stream[:-1])
+    return np.unique(least[new], return_counts=True)
+
+
+def distinct_runs(flat: np.ndarray, sizes: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, of the distinct runs of RUN tokens whose anchor is one of `anchors`, and how
+    many streams hold each."""
+    _, least = _least_grams(flat, sizes)
+    good = np.isin(least, anchors)
+    if not good.any():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     number = np.unique(flat, return_inverse=True)[1].astype(np.int64)
     suffixes, group, pages = _classes(np.split(number, np.cumsum(sizes)[:-1]))
-    rows = suffixes[np.flatnonzero(np.diff(group, prepend=-1))]
-    # places where a run is whole, and the run's hash there
-    whole = np.concatenate([np.repeat([True, False], [n - RUN + 1, RUN]) for n in sizes.tolist()])
-    hashes = np.zeros(len(whole), np.int64)
-    hashes[whole] = grams(flat, sizes, RUN)[0].view(np.int64)
-    return hashes[rows][whole[rows]], pages[whole[rows]]
-
-
-def _streams(batches):
-    """Batches cut into parts of a few pages, and each page's tokens as hashes that tell hosts apart."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 32):
-            part = batch.slice(at, 32)
-            bodies = [" ".join(body) for body in part.column("body").to_pylist()]
-            hashes, _, _, counts = words(*text_bytes(pa.array(bodies, pa.string())), lower=False)
-            host = mix(part.column("host").to_numpy().view(np.uint64))
-            tokens = mix(hashes ^ np.repeat(host, counts))
-            yield part, np.split(tokens, np.cumsum(counts)[:-1])
-
-
-def _frames(parsed: DataFrame, slots: np.ndarray) -> DataFrame:
-    """(run): the runs that stand on PAGES pages of a host or more."""
-    schema = pa.schema([("run", pa.int64()), ("pages", pa.int64())])
-
-    def send(batches):
-        held, size = [], 0
-        for part, streams in _streams(batches):
-            for host, stream in zip(part.column("host").to_pylist(), streams):
-                if not slots[host % SLOTS]:
-                    continue
-                held.append(stream)
-                size += stream.nbytes
-                if len(held) >= CHUNK_PAGES or size >= CHUNK_BYTES:
-                    yield batch_of(schema, **dict(zip(("run", "pages"), distinct_runs(held))))
-                    held, size = [], 0
-        if held:
-            yield batch_of(schema, **dict(zip(("run", "pages"), distinct_runs(held))))
-
-    runs = parsed.select("host", "body").mapInArrow(send, "run long, pages long")
-    return runs.groupBy("run").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= PAGES).select("run")
-
-
-def _unframed(parsed: DataFrame, frames: DataFrame, kind: str) -> DataFrame:
-    """(page_id, url, text) of pages without an article."""
-    held = pa.schema([("row", pa.int64()), ("run", pa.int64())])
-
-    def send(batches):
-        for part, streams in _streams(batches):
-            for row, stream in zip(part.column("row").to_pylist(), streams):
-                if len(stream) >= RUN:
-                    runs = np.unique(grams(stream, np.array([len(stream)]), RUN)[0]).view(np.int64)
-                    yield batch_of(held, row=np.full(len(runs), row), run=runs)
-
-    found = parsed.select("row", "host", "body").mapInArrow(send, "row long, run long").join(
-        frames, "run", "left_semi"
-    ).groupBy("row").agg(F.collect_list("run").alias("runs"))
-
-    def run(batches):
-        for part, streams in _streams(batches):
-            texts = []
-            for body, runs, stream in zip(part.column("body").to_pylist(), part.column("runs").to_pylist(), streams):
-                long = np.zeros(len(stream), bool)
-                if runs:
-                    own = grams(stream, np.array([len(stream)]), RUN)[0].view(np.int64)
-                    long[: len(own)] = np.isin(own, np.array(runs, np.int64))
-                covered = _covered(long)
-                if covered.all():  # a copy of other pages rather than their frame
-                    covered = np.zeros(len(covered), bool)
-                kept, at = [], 0
-                for block in body:
-                    tokens = block.split(" ")
-                    free = [w for w, c in zip(tokens, covered[at : at + len(tokens)]) if not c]
-                    at += len(tokens)
-                    if free:
-                        kept.append(" ".join(free))
-                texts.append("\n\n".join(kept))
-            yield pa.record_batch(
-                [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
+    # places of the streams, each with a mark at its end, where a wanted run begins, and its hash there
+    room = np.maximum(sizes - RUN + 1, 0)
+    at = ranges(np.cumsum(sizes + 1) - sizes - 1, room)[good]
+    wanted, hashes = np.zeros(len(suffixes), bool), np.zeros(len(suffixes), np.uint64)
+    wanted[at], hashes[at] = True, _run_hashes(flat, sizes)[good]
+    first = suffixes[np.flatnonzero(np.diff(group, prepend=-1))]
+    runs, pages = hashes[first][wanted[first]], pages[wanted[first]]
+    order = np.argsort(runs)
+    return runs[order], pages[order]
+
+
+def _run_hashes(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The hash of each whole run of streams that lie end to end, in order."""
+    hashes, room = grams(flat, sizes, RUN)
+    return hashes[np.repeat(sizes >= RUN, room)]
+
+
+#: Hashes travel as bytes: all first bytes, then all second ones and so on, since the first ones of
+#: ascending hashes are much alike.
+SENT = "bucket long, part long, hashes binary, pages binary"
+
+
+def _pack(hashes: np.ndarray, size: int) -> bytes:
+    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8).T[:size].tobytes()
+
+
+def _unpack(column: pa.ChunkedArray, size: int) -> list[np.ndarray]:
+    out = []
+    for value in column.to_pylist():
+        planes = np.zeros((8, len(value) // size), np.uint8)
+        planes[:size] = np.frombuffer(value, np.uint8).reshape(size, -1)
+        out.append(np.ascontiguousarray(planes.T).view(">u8")[:, 0].astype(np.uint64))
+    return out
+
+
+def _sent(part: int, hashes: np.ndarray, pages: np.ndarray, size: int, buckets: int) -> pa.Table:
+    """A part's ascending hashes cut into buckets; page counts beyond PAGES say no more than PAGES."""
+    starts = np.searchsorted(hashes, np.arange(buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets))
+    ends = np.append(starts[1:], len(hashes))
+    counts = np.minimum(pages, PAGES).astype(np.uint8)
+    rows = [(b, s, e) for b, (s, e) in enumerate(zip(starts.tolist(), ends.tolist())) if s < e]
+    return pa.table({
+        "bucket": pa.array([b for b, _, _ in rows], pa.int64()),
+        "part": pa.array([part] * len(rows), pa.int64()),
+        "hashes": pa.array([_pack(hashes[s:e], size) for _, s, e in rows], pa.binary()),
+        "pages": pa.array([counts[s:e].tobytes() for _, s, e in rows], pa.binary()),
+    })
+
+
+def _often(sent: DataFrame, size: int) -> DataFrame:
+    """(part, hashes): of the hashes a part sent, those that stand on PAGES pages or more in all."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = _unpack(table.column("hashes"), size)
+        flat = np.concatenate(rows)
+        pages = np.frombuffer(b"".join(table.column("pages").to_pylist()), np.uint8)
+        number = np.unique(flat, return_inverse=True)[1]
+        often = (np.bincount(number, weights=pages) >= PAGES)[number]
+        kept = [h[o] for h, o in zip(rows, np.split(often, np.cumsum([len(h) for h in rows])[:-1]))]
+        some = [i for i, h in enumerate(kept) if len(h)]
+        return pa.table({
+            "part": table.column("part").combine_chunks().take(pa.array(some, pa.int64())),
+            "hashes": pa.array([_pack(kept[i], size) for i in some], pa.binary()),
+        })
+
+    return sent.groupBy("bucket").applyInArrow(run, "part long, hashes binary")
+
+
+def _bodies(table: pa.Table) -> list[str]:
+    codec = pa.Codec("zstd")
+    return [
+        codec.decompress(body, size, asbytes=True).decode() if size else ""
+        for body, size in zip(table.column("body").to_pylist(), table.column("size").to_pylist())
+    ]
+
+
+def _streams(table: pa.Table, bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each page's tokens as hashes that tell hosts apart, end to end, and how many each page has."""
+    hashes, _, _, counts = words(*text_bytes(pa.array(bodies, pa.string())), lower=False)
+    host = mix(table.column("host").to_numpy().view(np.uint64))
+    return mix(hashes ^ np.repeat(host, counts)), counts
+
+
+def _frames(parsed: DataFrame, buckets: int) -> DataFrame:
+    """(part, hashes): the runs of a part's pages that stand on PAGES pages of their host or more."""
+
+    def anchors(table: pa.Table) -> pa.Table:
+        found = distinct_anchors(*_streams(table, _bodies(table)))
+        return _sent(table.column("part")[0].as_py(), *found, ANCHOR_BYTES, buckets)
+
+    def runs(table: pa.Table, often: pa.Table) -> pa.Table:
+        found = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if table.num_rows and often.num_rows:
+            held = np.concatenate(_unpack(often.column("hashes"), ANCHOR_BYTES))
+            found = distinct_runs(*_streams(table, _bodies(table)), held)
+        return _sent(table.column("part")[0].as_py() if table.num_rows else 0, *found, 8, buckets)
+
+    often = _often(parsed.groupBy("part").applyInArrow(anchors, SENT), ANCHOR_BYTES)
+    return _often(parsed.groupBy("part").cogroup(often.groupBy("part")).applyInArrow(runs, SENT), 8)
+
+
+def _text(blocks: list[str], inside: bytes, marked: bool, covered: np.ndarray) -> str:
+    """The blocks of a marked article; of a page that marks none, the blocks without covered tokens."""
+    if marked:
+        return "\n\n".join(block for block, place in zip(blocks, inside) if place)
+    if covered.all() or not covered.any():  # a copy of other pages rather than their frame, or no frame
+        return "\n\n".join(blocks)
+    kept, at = [], 0
+    for block in blocks:
+        tokens = block.split(" ")
+        free = [w for w, c in zip(tokens, covered[at : at + len(tokens)]) if not c]
+        at += len(tokens)
+        if free:
+            kept.append(" ".join(free))
+    return "\n\n".join(kept)
+
+
+def _judged(parsed: DataFrame, frames: DataFrame, kind: str) -> DataFrame:
+    """(page_id, url, text, n_repeated) of every page."""
+
+    def run(table: pa.Table, often: pa.Table) -> pa.Table:
+        bodies = _bodies(table)
+        flat, sizes = _streams(table, bodies)
+        covered = np.zeros(len(flat), bool)
+        if often.num_rows:
+            held = np.concatenate(_unpack(often.column("hashes"), 8))
+            room = np.maximum(sizes - RUN + 1, 0)
+            long = np.zeros(len(flat), bool)
+            long[ranges(np.cumsum(sizes) - sizes, room)] = np.isin(_run_hashes(flat, sizes), held)
+            covered = _covered(long)
+        pages = np.split(covered, np.cumsum(sizes)[:-1]) if len(sizes) else []
+        texts = [
+            _text(body.split("\n") if body else [], inside, marked, page) for body, inside, marked, page in zip(
+                bodies, table.column("inside").to_pylist(), table.column("marked").to_pylist(), pages
             )
-
-    return parsed.join(found, "row", "left").select("page_id", "url", "host", "body", "runs").mapInArrow(
-        run, f"page_id {kind}, url string, text string"
+        ]
+        return pa.table({
+            "page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array(texts, pa.string()),
+            "n_repeated": pa.array([int(page.sum()) for page in pages], pa.int64()),
+        })
+
+    return parsed.groupBy("part").cogroup(frames.groupBy("part")).applyInArrow(
+        run, f"page_id {kind}, url string, text string, n_repeated long"
     )
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars) for every row. Pages are parsed once and written; only pages
-    without an article, and the runs of their hosts, are shuffled."""
+def with_repeats(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, text, n_chars, n_repeated) for every row. n_repeated counts the words in runs that
+    stand on several pages of the host, in all of a page's blocks that don't go by their place. Pages
+    are parsed and dealt out once; each step reads what was dealt."""
     kind = pages.schema[id_col].dataType.simpleString()
     host, _ = host_and_path(F.col(url_col))
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"), F.xxhash64(F.coalesce(host, F.lit(""))).alias("host"),
     )
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()
+    parts = 1 + max(count // CHUNK_PAGES, size // CHUNK_BYTES)
 
     def cut(batches):
+        codec = pa.Codec("zstd")
         for part in slices(batches, "html"):
             found = [parse(source or "") for source in part.column("html").to_pylist()]
+            bodies = ["\n".join(p.body).encode() for p in found]  # a block holds no line end
             yield pa.record_batch([
-                *(part.column(c) for c in ("page_id", "url", "host")),
+                *(part.column(c) for c in ("part", "page_id", "url", "host")),
                 pa.array([p.marked for p in found], pa.bool_()),
-                pa.array([p.body for p in found], pa.list_(pa.string())),
-                pa.array([p.inside for p in found], pa.list_(pa.bool_())),
-            ], names=["page_id", "url", "host", "marked", "body", "inside"])
-
-    parsed = materialise(rows.mapInArrow(
-        cut, f"page_id {kind}, url string, host long, marked boolean, body array<string>, inside array<boolean>"
-    ).withColumn("row", F.monotonically_increasing_id()), "pages")
-    texts = parsed.where("marked").select("page_id", "url", F.array_join(
-        F.filter("body", lambda block, place: F.get("inside", place)), "\n\n"
-    ).alias("text"))
-    loose = parsed.where("NOT marked")
-    # so many slots at most, whatever the number of hosts; a slot hit by chance only sends runs in vain
-    hit = [r[0] for r in loose.select(F.pmod("host", F.lit(SLOTS))).distinct().collect()]
-    if hit:
-        slots = np.zeros(SLOTS, bool)
-        slots[hit] = True
-        texts = texts.union(_unframed(loose, _frames(parsed, slots), kind))
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+                pa.array([codec.compress(b, asbytes=True) if b else b"" for b in bodies], pa.binary()),
+                pa.array([len(b) for b in bodies], pa.int64()),
+                pa.array([bytes(p.inside) for p in found], pa.binary()),
+            ], names=["part", "page_id", "url", "host", "marked", "body", "size", "inside"])
+
+    parsed = rows.withColumn("part", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(parts))).mapInArrow(
+        cut, f"part long, page_id {kind}, url string, host long, marked boolean, body binary, size long, inside binary"
+    ).repartition("part")
+    frames = _frames(parsed, max(BUCKETS, parts // PARTS_A_BUCKET))
+    return _judged(parsed, frames, kind).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated"
+    )
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, text, n_chars) for every row."""
+    return with_repeats(pages, id_col, url_col, html_col).drop("n_repeated")

@@ -189,6 +189,76 @@ def test_host_frames_go_in_every_chunk_and_partition(spark):
         assert got[9000] == "marked" and got[9001] == f"{frame}\n\n{notice}"
 
 
+def test_arrays_judge_pages_that_mark_an_article_too(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "CHUNK_PAGES", 9)
+    rng, n = random.Random(5), html_text.RUN
+    shared = [words(rng, 8 + k) for k in range(4)]  # the first is a run and no more
+    rows, bodies = [], []
+    for i in range(120):
+        blocks = [words(rng, rng.choice((3, 7, 20))) for _ in range(3)]
+        blocks.insert(rng.randrange(4), shared[i % 13] if i % 13 < 4 else words(rng, 2))
+        if i % 40 == 0:
+            blocks = []
+        marked = i % 3 > 0
+        tag = "article" if marked else "div"
+        html = f"{FRAME}<{tag}>{''.join(f'<p>{b}</p>' for b in blocks)}</{tag}>"
+        rows.append((i if i % 11 else None, f"http://{'ab'[i % 2]}.example.org/{i}", html))
+        bodies.append((i % 2, marked, blocks))
+    rows += [(500, rows[1][1], rows[1][2]), (501, rows[1][1], rows[1][2]), (None, None, None), (None, None, None)]
+    bodies += [bodies[1], bodies[1], (2, False, []), (2, False, [])]
+    held = {}
+    for at, (host, _, blocks) in enumerate(bodies):
+        tokens = " ".join(blocks).split()
+        for a in range(len(tokens) - n + 1):
+            held.setdefault((host, *tokens[a : a + n]), set()).add(at)
+    want, repeated = [], set()
+    for (page_id, url, _), (host, marked, blocks) in zip(rows, bodies):
+        tokens = " ".join(blocks).split()
+        covered = [False] * len(tokens)
+        for a in range(len(tokens) - n + 1):
+            if len(held[(host, *tokens[a : a + n])]) >= html_text.PAGES:
+                covered[a : a + n] = [True] * n
+        kept, at = [], 0
+        for block in blocks:
+            size = len(block.split())
+            hit = covered[at : at + size] if not marked and not all(covered) else [False] * size
+            at += size
+            kept.append(" ".join(w for w, c in zip(block.split(), hit) if not c))
+        text = "\n\n".join(k for k in kept if k)
+        want.append((page_id, url, text, len(text), sum(covered)))
+        repeated.add((marked, any(covered)))
+    assert len(repeated) == 4
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    judged = html_text.with_repeats(table)
+    assert collected(judged) == sorted(want, key=repr)
+    assert collected(html_text.extract(table)) == sorted((w[:4] for w in want), key=repr)
+
+
+def test_op10_counts_repeats_in_given_articles(spark):
+    got = entry.queries()["op10_html_text"](spark, SF)
+    assert got.columns == ["page_id", "url", "text", "n_chars", "n_repeated"]
+    assert got.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
+def test_anchors_stand_on_all_pages_of_their_runs():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        sizes = rng.integers(0, 60, 8)
+        flat = rng.integers(0, 3, sizes.sum()).astype(np.uint64)
+        anchors, pages = html_text.distinct_anchors(flat, sizes)
+        often, counts = html_text.distinct_runs(flat, sizes, anchors)
+        streams = np.split(flat, np.cumsum(sizes)[:-1])
+        held = {}
+        for i, s in enumerate(streams):
+            for a in range(len(s) - html_text.RUN + 1):
+                held.setdefault(tuple(s[a : a + html_text.RUN]), set()).add(i)
+        assert sorted(counts.tolist()) == sorted(len(v) for v in held.values())
+        some, least = html_text.distinct_runs(flat, sizes, anchors[pages >= html_text.PAGES])
+        found = dict(zip(some.tolist(), least.tolist()))
+        for run, n in zip(often.tolist(), counts.tolist()):
+            assert n < html_text.PAGES or found[run] == n
+
+
 def test_repeated_tokens_equal_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(30):
