@@ -829,3 +829,65 @@ def test_of_two_promotions_at_one_step_one_wins(spark, searchable, tmp_path):
 def test_embedder_vectors_are_unit_length():
     vectors = hashed_words(["Kernel kernel jump", "", "a b c"])
     assert np.linalg.norm(vectors, axis=1) == pytest.approx([1.0, 0.0, 1.0], abs=1e-6)
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topk_of_uncut_slots_merges_nothing_and_repeated_ids_stay(spark):
+    """Where no slot's items are cut, winners are final in their task: no window, no second look at the queries.
+    Ids that repeat get what the merged plan gives them, and null ones nothing."""
+    rng = np.random.default_rng(5)
+    items = spark.createDataFrame([("s" if n % 3 else "t", f"i{n:02d}", v.tolist()) for n, v in enumerate(unit(rng, 60))],
+                                  "slot string, item_id string, vector array<float>")
+    asked = [(None if n == 7 else f"q{n % 20}", "s" if n % 2 else "t", n % 5, v.tolist()) for n, v in enumerate(unit(rng, 50))]
+    queries = spark.createDataFrame(asked, "query_id string, slot string, k int, vector array<float>")
+    whole, cut = filtered_topk(queries, items), filtered_topk(queries, items, items_per_block=7)
+    assert "Window" not in plan_text(whole) and "Window" in plan_text(cut)
+    got, want = (sorted(map(tuple, df.select("query_id", "slot", "item_id", "score", "rank").collect())) for df in (whole, cut))
+    assert got == want and len(got) > 60
+
+
+def test_queries_are_sent_packed(spark):
+    """One row for many queries of a slot, with their mostly empty vectors compressed."""
+    rows = spark.range(3_000, numPartitions=1).select(
+        F.col("id").cast("string").alias("query_id"), F.lit("s").alias("slot"),
+        F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.when(i == F.col("id") % 256, 1.0).otherwise(0.0)
+                    .cast("float")).alias("vector"))
+    packed = topk._packed(rows, ["slot"]).collect()
+    assert len(packed) == 1 and len(packed[0]["packed"]) < 3_000 * 60
+
+
+def test_the_gate_deals_hits_once(spark, searchable):
+    """By query only: few chunks' facts are sent to the hits, not hits to the chunks."""
+    asked = rows(spark, {"deployment_id": "A"}, {"deployment_id": "A"}, {"deployment_id": "B", "vendor_name": "Acme"})
+    verdicts = gate.assess(asked, retrieval.retrieve(asked, searchable, routes=("evidence",)), searchable)
+    assert "hashpartitioning(chunk_id" not in plan_text(verdicts)
+    got = {r["query_id"]: r for r in verdicts.collect()}
+    assert verdicts.where("query_id = 'A'").count() == 2
+    assert got["B"]["verdict"] == "insufficient_evidence" and got["A"]["matched"] % 4 == 0
+
+
+def test_ids_of_evidence_carry_no_texts(spark, searchable):
+    hits = retrieval.route_all(rows(spark, {"deployment_id": "A"}), searchable).written()
+    blocks = retrieval.evidence_blocks(hits, searchable)
+    assert "text" in plan_text(blocks)
+    assert "text" not in plan_text(blocks.select("query_id", "evidence_ids"))
+
+
+def test_runbooks_are_written_out_from_one_joined_row(spark, searchable):
+    hits = retrieval.route_all(rows(spark, {"deployment_id": "A"}), searchable).written()
+    assert "Generate inline(listed" in plan_text(hits.rows())
+
+
+def test_cited_deployments_are_looked_up_before_lines_are_summed_up(spark):
+    from catalog import corpus_tables as ct
+
+    sf = "/root/testdata/sf0.001"
+    ids = spark.sql("SELECT explode(array('DEP_000007', 'DEP_000123', 'DEP_000123', 'DEP_999999', null)) AS deployment_id")
+    some, all_rows = ct.flagged(spark, sf, ids), ct.flagged(spark, sf)
+    lines = [x for x in plan_text(some).splitlines() if "l_quantity" in x or "LeftSemi" in x]
+    assert any("LeftSemi" in x for x in lines)
+    want = all_rows.where("deployment_id IN ('DEP_000007', 'DEP_000123')").collect()
+    assert sorted(map(str, some.collect())) == sorted(map(str, want)) and len(want) == 2
